@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorelake.functions import vocab
+from scorelake.sizing import small_table
 
 # Unicode classes for \d \s \w \b, and only "\n" ends a line for ".".
 UNICODE = "(?Ud)"
@@ -45,23 +46,20 @@ def words(text: Column) -> Column:
 def lexicon_sentiment(df: DataFrame, row_id: str, text: str, lexicon: DataFrame) -> DataFrame:
     """Mean polarity of the words found in a ``(token, polarity)`` table, 0 when none is found.
 
-    Words are counted per (row, word) before the join, so a long text shuffles each distinct
-    word once and a very frequent word is only as wide as the rows that hold it.
+    A small lexicon is broadcast, so one row per text shuffles. A wide one is joined on words already
+    counted per text, so a frequent word is no wider than the texts that hold it.
     """
-    from scorelake.sizing import join_lookup
-
-    tokens = (
-        df.select(row_id, F.explode(words(F.lower(F.col(text)))).alias("token"))
-        .groupBy(row_id, "token")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    hits = join_lookup(tokens, lexicon.select("token", "polarity"), "token", "inner")
-    scored = hits.groupBy(row_id).agg(
-        (F.sum(F.col("n") * F.col("polarity")) / F.sum("n")).alias("sentiment")
-    )
-    return df.select(row_id).join(scored, row_id, "left").select(
-        row_id, F.coalesce("sentiment", F.lit(0.0)).alias("sentiment")
-    )
+    spoken = df.select(row_id, F.explode_outer(words(F.lower(F.col(text)))).alias("token"))
+    table = lexicon.select("token", "polarity")
+    small = small_table(table)
+    if small is not None:
+        hits = spoken.join(F.broadcast(small), "token", "left").withColumn("n", F.lit(1))
+    else:
+        counted = spoken.groupBy(row_id, "token").agg(F.count(F.lit(1)).alias("n"))
+        hits = counted.join(table, "token", "left")
+    found = F.sum(F.when(F.col("polarity").isNotNull(), F.col("n")))
+    mean = F.try_divide(F.sum(F.col("n") * F.col("polarity")), found)
+    return hits.groupBy(row_id).agg(F.coalesce(mean, F.lit(0.0)).alias("sentiment"))
 
 
 def extract_salary(text: Column, patterns: Sequence[str] = vocab.SALARY_PATTERNS) -> Column:

@@ -18,7 +18,11 @@ from scorelake.operators.quantiles import exact_quantiles
 from scorelake.sizing import join_lookup
 
 
-def latest_time(log: DataFrame, ts: str) -> dt.datetime | None:
+def latest_time(log: DataFrame, ts: str, event_date: str = "event_date") -> dt.datetime | None:
+    """Newest time; on a log kept by day only the last day is read for it."""
+    if event_date in log.columns:
+        last = log.agg(F.max(event_date)).first()[0]
+        log = log.where(F.col(event_date) == F.lit(last))
     return log.agg(F.max(ts).cast("timestamp_ntz")).first()[0]
 
 
@@ -28,7 +32,7 @@ def recent(log: DataFrame, days: int = 30, as_of: dt.datetime | None = None, ts:
 
     The limit is a literal, so it reaches the scan, and it prunes ``event_date`` partitions if present.
     """
-    end = as_of or latest_time(log, ts)
+    end = as_of or latest_time(log, ts, event_date)
     if end is None:
         return log
     start = end - dt.timedelta(days=days)

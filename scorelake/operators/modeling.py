@@ -19,6 +19,7 @@ from scorelake.operators.evaluate import ratio, score_curve
 from scorelake.operators.insight import feature_groups
 from scorelake.operators.prepare import fit_preprocess
 from scorelake.operators.sampling import random_oversample, stratified_kfold
+from scorelake.sizing import join_lookup
 
 MAX_DEPTH = 30
 METRIC_NAMES = ["accuracy", "precision", "recall", "f1", "auc", "avg_precision"]
@@ -39,18 +40,13 @@ def gradient_boosting(trees: int = 100, depth: int = 3, rate: float = 0.1, seed:
 
 def balanced_weight(df: DataFrame, target: str, out: str = "weight") -> DataFrame:
     """Add n / (k * n_class) per row."""
-    counts = df.groupBy(target).count().collect()
-    total = sum(r["count"] for r in counts)
-    chain = None
-    for r in counts:
-        w = F.lit(total / (len(counts) * r["count"]))
-        hit = F.col(target).eqNullSafe(F.lit(r[target]))
-        chain = F.when(hit, w) if chain is None else chain.when(hit, w)
-    return df.withColumn(out, F.lit(1.0) if chain is None else chain)
+    counts = df.groupBy(F.col(target).alias("__class")).agg(F.count(F.lit(1)).alias("__n"))
+    whole = counts.agg((F.sum("__n") / F.count(F.lit(1))).alias("share")).scalar()
+    weights = counts.select("__class", (whole / F.col("__n")).alias(out))
+    return join_lookup(df, weights, lambda a, b: a[target].eqNullSafe(b["__class"])).drop("__class")
 
 
 def logistic(max_iter: int = 1000, features: str = "features", label: str = "label", weight: str | None = None) -> LogisticRegression:
-    # C = 1 in the usual formulation is a penalty of 1/rows here; the caller may set it.
     model = LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter)
     return model.setWeightCol(weight) if weight else model
 

@@ -127,7 +127,10 @@ def minority_neighbours(rows: DataFrame, row_id: str, features: Sequence[str], k
     base = rows.select(F.col(row_id).alias("id"), vec.alias("point"), block.alias("block"))
     every = F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")
     asks = base.select("id", "point", F.col("block").alias("mine"), F.explode(every).alias("other"))
-    pool = base.select("id", "point", F.explode(every).alias("mine"), F.col("block").alias("other"))
+    # Fresh names: both sides of a cogroup come from one table.
+    pool = base.select(
+        F.col("id").alias("pool_id"), F.col("point").alias("pool_point"), F.explode(every).alias("pool_mine"),
+        F.col("block").alias("pool_other"))
     id_type = rows.schema[row_id].dataType.simpleString()
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -136,12 +139,12 @@ def minority_neighbours(rows: DataFrame, row_id: str, features: Sequence[str], k
             return pd.DataFrame(columns=names)
         found = nearest(
             left["id"].to_numpy(), np.stack(left["point"].to_numpy()),
-            right["id"].to_numpy(), np.stack(right["point"].to_numpy()), k,
+            right["pool_id"].to_numpy(), np.stack(right["pool_point"].to_numpy()), k,
         )
         return pd.DataFrame(found, columns=names)
 
     schema = f"id {id_type}, other {id_type}, dist double, point array<double>"
-    near = asks.groupBy("mine", "other").cogroup(pool.groupBy("mine", "other")).applyInPandas(meet, schema)
+    near = asks.groupBy("mine", "other").cogroup(pool.groupBy("pool_mine", "pool_other")).applyInPandas(meet, schema)
     if blocks == 1:
         return near
     order = Window.partitionBy("id").orderBy("dist", "other")
@@ -168,7 +171,7 @@ def smote(df: DataFrame, target: str, row_id: str, features: Sequence[str], k: i
         F.sort_array(F.collect_list(F.struct("dist", "other", "point"))).alias("near")
     )
     mine = complete.select(F.col(row_id).alias("id"), F.array(*[F.col(f"`{c}`").cast("double") for c in features]).alias("here"))
-    numbered = number_rows(mine.join(per_row, "id"), "id", seed, n_minor, "number")
+    numbered = number_rows(mine, "id", seed, n_minor, "number").join(per_row, "id")
     token = F.md5(F.concat(F.lit(f"smote-{seed}-"), F.col("id").cast("string")).cast("binary"))
     draws = df.sparkSession.range(need).select(
         (hash_int(token) % F.lit(n_minor)).alias("number"), hash_int(F.reverse(token), 8).alias("pick"),

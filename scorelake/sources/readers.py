@@ -11,13 +11,15 @@ from scorelake.operators.aggregates import value_distribution
 from scorelake.operators.profile import missing_profile
 
 
-def read_keyed_json(spark: SparkSession, path: str, record: T.StructType | str, key: str = "id") -> DataFrame:
+def read_keyed_json(spark: SparkSession, path: str, record: T.StructType | str, key: str = "id",
+                    per_line: bool = False) -> DataFrame:
     """``{id: record}`` documents as one row per id.
 
-    A document is one task, however large; land the result as Parquet before heavy use.
+    A file is one document, and one task however large; with ``per_line`` every line is one, and files
+    split. Land the result as Parquet before heavy use.
     """
     shape = record.simpleString() if isinstance(record, T.StructType) else record
-    text = spark.read.text(path, wholetext=True)
+    text = spark.read.text(path, wholetext=not per_line)
     parsed = text.select(F.from_json("value", f"map<string,{shape}>").alias("m"))
     return parsed.select(F.explode("m").alias(key, "record")).select(key, "record.*")
 

@@ -64,7 +64,7 @@ def stream_recent_drift(stream: DataFrame, log_path: str, training: FeatureStats
     """
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.withColumn("event_date", F.to_date("timestamp")).write.mode("overwrite").parquet(
+        batch.withColumn("event_date", F.to_date("timestamp")).write.mode("overwrite").partitionBy("event_date").parquet(
             f"{log_path}/batch={batch_id}")
         log = spark.read.parquet(log_path).drop("batch")
         _, report = check_drift(log, training, days)
