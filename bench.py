@@ -14,6 +14,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from scorelake.operators import modeling as ml  # noqa: E402
 from scorelake.plans import catalog, queries_model  # noqa: E402
 from scorelake.session import build_session  # noqa: E402
+from scorelake.sizing import kept  # noqa: E402
 
 HEADLINE = [
     "prospect_features", "group_success_rate", "attach_group_stats", "elapsed_days", "feature_drift", "js_divergence", "drift_report",
@@ -30,7 +31,7 @@ def run(df) -> None:
 
 def forest(spark, sf) -> None:
     """A forest of 96 trees of depth 5 on the joined orders, scored on every row."""
-    data = ml.vectorize(queries_model.tree_table(spark, sf), queries_model.TREE_FEATURES, "y").persist()
+    data = kept(ml.vectorize(queries_model.tree_table(spark, sf), queries_model.TREE_FEATURES, "y"))
     model = ml.random_forest(96, 5).fit(data)
     run(ml.batch_score(data, model))
     data.unpersist()

@@ -12,8 +12,8 @@ from scorelake.functions import vocab
 
 
 def map_lookup(key: Column, table: Mapping[str, str]) -> Column:
-    pairs = [F.lit(x) for item in table.items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), key)
+    pairs = "\x1f".join(f"{k}\x1e{v}" for k, v in table.items())
+    return F.try_element_at(F.str_to_map(F.lit(pairs), F.lit("\x1f"), F.lit("\x1e")), key)
 
 
 def first_present(df: DataFrame, names: Sequence[str]) -> Column | None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scorelake.functions import vocab
 from scorelake.functions.clean import map_lookup
+from scorelake.functions.text import let
 
 
 def recommend(probability: Column) -> dict[str, Column]:
@@ -109,9 +110,9 @@ def _phrase(prefix: str, c: Column) -> Column:
 
 
 def _bullets(title: str, points: list[Column]) -> Column:
-    found = F.array_compact(F.array(*points))
-    lines = F.array_join(F.transform(found, lambda p: F.concat(F.lit("• "), p)), "\n")
-    return F.when(F.size(found) > 0, F.concat(F.lit(title + "\n"), lines, F.lit("\n"))).otherwise(F.lit(""))
+    """A titled list of the points that are not NULL, or an empty text."""
+    lines = F.concat_ws("\n", *[F.concat(F.lit("• "), p) for p in points])
+    return let(lines, lambda t: F.when(t != "", F.concat(F.lit(title + "\n"), t, F.lit("\n"))).otherwise(F.lit("")))
 
 
 def explain_text(
@@ -147,7 +148,7 @@ def explain_text(
     ])
     positive = F.concat(
         F.lit("Análise indica "), band, F.lit(" compatibilidade com a vaga"), _phrase(" de ", title), place,
-        strengths, F.when(strengths != "", F.lit("\n")).otherwise(F.lit("")), cautions,
+        let(strengths, lambda s: F.concat(s, F.when(s != "", F.lit("\n")).otherwise(F.lit("")))), cautions,
     )
 
     reasons = _bullets("Principais considerações:", [

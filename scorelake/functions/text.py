@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -17,10 +18,28 @@ UNICODE = "(?Ud)"
 UNICODE_NOCASE = "(?iUd)"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once per row."""
+    return F.transform(F.array(value), body)[0]
+
+
+def terms_array(terms: Sequence[str]) -> Column:
+    """A constant array; one expression however long the list."""
+    return F.split(F.lit("\x1f".join(terms)), "\x1f")
+
+
 def contains_any(text: Column, terms: Sequence[str]) -> Column:
     """True when any term is a substring; NULL text gives false."""
-    hits = [F.contains(text, F.lit(term)) for term in terms]
-    return F.coalesce(reduce(or_, hits), F.lit(False)) if hits else F.lit(False)
+    if not terms:
+        return F.lit(False)
+    if len(terms) <= 3:
+        return F.coalesce(reduce(or_, [F.contains(text, F.lit(term)) for term in terms]), F.lit(False))
+    return F.coalesce(F.exists(terms_array(terms), lambda term: F.contains(text, term)), F.lit(False))
+
+
+def hits(text: Column, terms: Sequence[str]) -> Column:
+    """How many of the terms are substrings."""
+    return F.size(F.filter(terms_array(terms), lambda term: F.contains(text, term)))
 
 
 def keyword_sentiment(
@@ -29,14 +48,11 @@ def keyword_sentiment(
     negative: Sequence[str] = vocab.NEGATIVE_TERMS,
     scale: float = 5.0,
 ) -> Column:
-    low = F.lower(text)
-    score = F.lit(0)
-    for term in positive:
-        score = score + F.contains(low, F.lit(term)).cast("int")
-    for term in negative:
-        score = score - F.contains(low, F.lit(term)).cast("int")
-    clipped = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), score / F.lit(scale)))
-    return F.when(text.isNull(), F.lit(0.0)).otherwise(clipped)
+    def score(low: Column) -> Column:
+        total = hits(low, positive) - hits(low, negative)
+        return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), total / F.lit(scale)))
+
+    return F.when(text.isNull(), F.lit(0.0)).otherwise(let(F.lower(text), score))
 
 
 def words(text: Column) -> Column:
@@ -83,42 +99,70 @@ def engagement_flag(
     hired: Sequence[str] = vocab.HIRED_TERMS,
     denials: Sequence[str] = vocab.HIRED_DENIALS,
 ) -> Column:
-    low = F.lower(text)
-    shortcut = contains_any(low, hired) & ~contains_any(low, denials)
-    return shortcut | (contains_any(low, engaged) & ~contains_any(low, blockers))
+    def flag(low: Column) -> Column:
+        shortcut = contains_any(low, hired) & ~contains_any(low, denials)
+        return shortcut | (contains_any(low, engaged) & ~contains_any(low, blockers))
+
+    return let(F.lower(text), flag)
 
 
 def culture_flag(text: Column, terms: Sequence[str] = vocab.CULTURE_TERMS) -> Column:
-    return contains_any(F.lower(text), terms)
+    return let(F.lower(text), lambda low: contains_any(low, terms))
 
 
-def has_term(low: Column, term: str) -> Column:
+def has_term(low: Column, term: Column) -> Column:
     """Word-boundary hit. The cheap substring test spares the regex on most rows."""
-    pattern = UNICODE + r"\b" + term + r"\b"
-    return F.coalesce(F.contains(low, F.lit(term)) & low.rlike(pattern), F.lit(False))
+    pattern = F.concat(F.lit(UNICODE + r"\b"), term, F.lit(r"\b"))
+    return F.contains(low, term) & F.rlike(low, pattern)
 
 
 def extract_terms(text: Column, terms: Sequence[str] = vocab.COMMENT_SKILLS) -> Column:
-    low = F.lower(text)
-    return F.array_compact(F.array(*[F.when(has_term(low, t), F.lit(t)) for t in terms]))
+    return let(F.lower(text), lambda low: F.filter(terms_array(terms), lambda term: has_term(low, term)))
+
+
+# The flag families below take ``low``, the lower-cased text as its own column, so that one lowering
+# serves every flag.
+
+
+def with_lower(df: DataFrame, text: str, out: str = "__low") -> DataFrame:
+    return df.withColumn(out, F.lower(F.col(text)))
+
+
+def term_flags(low: Column, terms: Sequence[str] = vocab.FLAGGED_SKILLS, prefix: str = "menciona_") -> dict[str, Column]:
+    return {prefix + t: F.coalesce(has_term(low, F.lit(t)), F.lit(False)) for t in terms}
 
 
-def term_flags(text: Column, terms: Sequence[str] = vocab.FLAGGED_SKILLS, prefix: str = "menciona_") -> dict[str, Column]:
-    low = F.lower(text)
-    return {prefix + t: has_term(low, t) for t in terms}
+def literal_starts(pattern: str) -> list[str] | None:
+    """The literal text each alternative must begin with, or None when one has no clear start."""
+    if re.search(r"[()]", pattern):
+        return None
+    starts = []
+    for part in pattern.split("|"):
+        plain = re.match(r"(?:\\[$.]|[^\\\[\]{}.*+?^$])*", part)[0]
+        rest = part[len(plain):]
+        text = re.sub(r"\\(.)", r"\1", plain)
+        text = text[:-1] if rest[:1] in ("*", "?", "{") else text
+        if len(text) < 2:
+            return None
+        starts.append(text.lower())
+    return starts
 
 
-def regex_flags(text: Column, patterns: Mapping[str, str] = vocab.MENTION_PATTERNS) -> dict[str, Column]:
-    return {
-        name: F.coalesce(text.rlike(UNICODE_NOCASE + pattern), F.lit(False))
-        for name, pattern in patterns.items()
-    }
+def regex_flags(text: Column, low: Column, patterns: Mapping[str, str] = vocab.MENTION_PATTERNS) -> dict[str, Column]:
+    """Case-insensitive pattern flags. A row that holds none of a pattern's literal starts skips the regex."""
+    out = {}
+    for name, pattern in patterns.items():
+        hit = text.rlike(UNICODE_NOCASE + pattern)
+        starts = literal_starts(pattern)
+        if starts:
+            # Letters that fold to ASCII from outside it are left to the regex.
+            odd = F.contains(text, F.lit("\u017f")) | F.contains(text, F.lit("\u212a"))
+            hit = (contains_any(low, starts) | odd) & hit
+        out[name] = F.coalesce(hit, F.lit(False))
+    return out
 
 
-def keyword_group_flags(
-    text: Column, groups: Mapping[str, Sequence[str]] = vocab.MENTION_GROUPS
-) -> dict[str, Column]:
-    low = F.lower(text)
+def keyword_group_flags(low: Column, groups: Mapping[str, Sequence[str]] = vocab.MENTION_GROUPS) -> dict[str, Column]:
     return {name: contains_any(low, terms) for name, terms in groups.items()}
 
 

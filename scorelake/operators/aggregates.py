@@ -16,9 +16,9 @@ def group_success_rate(df: DataFrame, key: str = "recrutador", target: str = "ta
     )
 
 
-def above_mean_flag(df: DataFrame, value: str, out: str) -> DataFrame:
+def above_mean_flag(df: DataFrame, value: str, out: str, source: DataFrame | None = None) -> DataFrame:
     """1 when the value exceeds the mean over rows. The mean is a scalar subquery."""
-    mean = df.agg(F.avg(value)).scalar()
+    mean = (df if source is None else source).agg(F.avg(value)).scalar()
     return df.withColumn(out, F.coalesce(F.col(value) > mean, F.lit(False)).cast("int"))
 
 

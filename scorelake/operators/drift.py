@@ -15,7 +15,6 @@ from scorelake.operators.aggregates import with_share
 from scorelake.operators.joins import align_distributions
 from scorelake.operators.profile import clean_number, long_stats, q, value_counts
 from scorelake.operators.quantiles import exact_quantiles
-from scorelake.sizing import join_lookup
 
 
 def latest_time(log: DataFrame, ts: str, event_date: str = "event_date") -> dt.datetime | None:
@@ -145,17 +144,15 @@ def js_divergence(pairs: DataFrame, by: str = "feature", p: str = "p", q: str =
 
     Weights need not add to 1. Zeros become epsilon and both sides are rescaled before the logs.
     """
-    mass = pairs.groupBy(F.col(by).alias("__by")).agg(F.sum(p).alias("__p"), F.sum(q).alias("__q"))
+    mass = pairs.groupBy(by).agg(F.sum(p).alias("__p"), F.sum(q).alias("__q"))
 
     def clip(c: str, total: str) -> Column:
         share = F.coalesce(F.try_divide(F.col(c), F.col(total)), F.lit(0.0))
         return F.least(F.lit(1.0), F.greatest(F.lit(epsilon), share))
 
-    first = join_lookup(pairs, mass, lambda a, b: a[by] == b["__by"], "inner").select(
-        F.col(by), clip(p, "__p").alias("__a"), clip(q, "__q").alias("__b"))
-    rescale = first.groupBy(F.col(by).alias("__by")).agg(F.sum("__a").alias("__sa"), F.sum("__b").alias("__sb"))
-    unit = join_lookup(first, rescale, lambda a, b: a[by] == b["__by"], "inner").select(
-        F.col(by), (F.col("__a") / F.col("__sa")).alias("a"), (F.col("__b") / F.col("__sb")).alias("b"))
+    first = pairs.join(mass, by).select(by, clip(p, "__p").alias("__a"), clip(q, "__q").alias("__b"))
+    rescale = first.groupBy(by).agg(F.sum("__a").alias("__sa"), F.sum("__b").alias("__sb"))
+    unit = first.join(rescale, by).select(by, (F.col("__a") / F.col("__sa")).alias("a"), (F.col("__b") / F.col("__sb")).alias("b"))
     mid = (F.col("a") + F.col("b")) / 2
     part = F.col("a") * F.log(F.col("a") / mid) + F.col("b") * F.log(F.col("b") / mid)
     return unit.groupBy(by).agg(F.least(F.lit(1.0), F.sum(part) / 2).alias("js"))

@@ -177,17 +177,14 @@ def threshold_counts(df: DataFrame, y: str, score: str, thresholds: Sequence[flo
     bins = df.where(F.col(score).isNotNull()).groupBy(reached.alias("reached")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")
     )
-    sums = []
-    for i, t in enumerate(marks):
-        up = F.col("reached") > i
-        sums.append(F.struct(
-            F.lit(t).alias("threshold"),
-            F.coalesce(F.sum(F.when(up, F.col("pos"))), F.lit(0)).alias("tp"),
-            F.coalesce(F.sum(F.when(up, F.col("neg"))), F.lit(0)).alias("fp"),
-            F.coalesce(F.sum(F.when(~up, F.col("pos"))), F.lit(0)).alias("fn"),
-            F.coalesce(F.sum(F.when(~up, F.col("neg"))), F.lit(0)).alias("tn"),
-        ).alias(f"t{i}"))
-    return bins.agg(*sums).select(F.inline(F.array(*[f"t{i}" for i in range(len(marks))])))
+    each = bins.select("reached", "pos", "neg", F.posexplode(F.array(*[F.lit(t) for t in marks])).alias("i", "threshold"))
+    up = F.col("reached") > F.col("i")
+
+    def total(cond: Column, n: str) -> Column:
+        return F.sum(F.when(cond, F.col(n)).otherwise(0))
+
+    return each.groupBy("threshold").agg(
+        total(up, "pos").alias("tp"), total(up, "neg").alias("fp"), total(~up, "pos").alias("fn"), total(~up, "neg").alias("tn"))
 
 
 def threshold_grid(df: DataFrame, y: str, score: str, thresholds: Sequence[float] = vocab.GRID_THRESHOLDS) -> DataFrame:

@@ -19,7 +19,7 @@ from scorelake.operators.evaluate import ratio, score_curve
 from scorelake.operators.insight import feature_groups
 from scorelake.operators.prepare import fit_preprocess
 from scorelake.operators.sampling import random_oversample, stratified_kfold
-from scorelake.sizing import join_lookup
+from scorelake.sizing import join_lookup, kept
 
 MAX_DEPTH = 30
 METRIC_NAMES = ["accuracy", "precision", "recall", "f1", "auc", "avg_precision"]
@@ -100,47 +100,47 @@ def importances(data: DataFrame, columns: Sequence[str], trees: int, seed: int,
     return dict(zip(columns, (float(v) for v in values)))
 
 
-def _subset(data: DataFrame, columns: Sequence[str], kept: Sequence[str]) -> DataFrame:
+def _subset(data: DataFrame, columns: Sequence[str], wanted: Sequence[str]) -> DataFrame:
     from pyspark.ml.feature import VectorSlicer
 
     index = {c: i for i, c in enumerate(columns)}
-    slicer = VectorSlicer(inputCol="features", outputCol="kept", indices=[index[c] for c in kept])
-    return slicer.transform(data).select("label", F.col("kept").alias("features"))
+    slicer = VectorSlicer(inputCol="features", outputCol="part", indices=[index[c] for c in wanted])
+    return slicer.transform(data).select("label", F.col("part").alias("features"))
 
 
 def rfe(df: DataFrame, target: str, columns: Sequence[str], n: int = 20, step: int = 1, trees: int = 50, seed: int = 42) -> list[str]:
     """Drop the least important features, refitting each time, until ``n`` remain."""
-    data = vectorize(df, columns, target).persist()
-    kept = list(columns)
+    data = kept(vectorize(df, columns, target))
+    left = list(columns)
     try:
-        while len(kept) > n:
-            weight = importances(_subset(data, columns, kept), kept, trees, seed)
-            drop = sorted(kept, key=lambda c: (weight[c], c))[: min(step, len(kept) - n)]
-            kept = [c for c in kept if c not in drop]
+        while len(left) > n:
+            weight = importances(_subset(data, columns, left), left, trees, seed)
+            drop = sorted(left, key=lambda c: (weight[c], c))[: min(step, len(left) - n)]
+            left = [c for c in left if c not in drop]
     finally:
         data.unpersist()
-    return kept
+    return left
 
 
 def rfecv(df: DataFrame, target: str, columns: Sequence[str], row_id: str, n: int = 20, folds: int = 5,
           step: int = 1, trees: int = 50, seed: int = 42) -> list[str]:
     """The feature count from ``n`` up with the best mean fold accuracy, then ``rfe`` to that count."""
-    data = stratified_kfold(df, target, row_id, folds, seed).persist()
+    data = kept(stratified_kfold(df, target, row_id, folds, seed))
     sizes = sorted({max(n, len(columns) - i * step) for i in range((len(columns) - n) // step + 2)})
     score = {s: 0.0 for s in sizes}
     try:
         for fold in range(folds):
             train, val = data.where(F.col("fold") != fold), data.where(F.col("fold") == fold)
-            kept = list(columns)
+            left = list(columns)
             while True:
-                fitted = random_forest(trees, 5, seed=seed).fit(vectorize(train, kept, target))
-                guess = fitted.transform(vectorize(val, kept, target))
-                score[len(kept)] += guess.agg(F.avg((F.col("prediction") == F.col("label")).cast("int"))).first()[0] or 0.0
-                if len(kept) <= n:
+                fitted = random_forest(trees, 5, seed=seed).fit(vectorize(train, left, target))
+                guess = fitted.transform(vectorize(val, left, target))
+                score[len(left)] += guess.agg(F.avg((F.col("prediction") == F.col("label")).cast("int"))).first()[0] or 0.0
+                if len(left) <= n:
                     break
-                weight = dict(zip(kept, fitted.featureImportances.toArray()))
-                drop = sorted(kept, key=lambda c: (weight[c], c))[: min(step, len(kept) - n)]
-                kept = [c for c in kept if c not in drop]
+                weight = dict(zip(left, fitted.featureImportances.toArray()))
+                drop = sorted(left, key=lambda c: (weight[c], c))[: min(step, len(left) - n)]
+                left = [c for c in left if c not in drop]
     finally:
         data.unpersist()
     best = max(sizes, key=lambda s: (score[s], -s))
@@ -185,7 +185,7 @@ def cross_validate_balanced(df: DataFrame, target: str, columns: Sequence[str],
                             make: Callable[[], object] | None = None, folds: int = 5, seed: int = 42,
                             balance: bool = True) -> DataFrame:
     """``(metric, mean, std)`` over folds; only training rows are balanced, deviation is over folds."""
-    data = stratified_kfold(df, target, row_id, folds, seed).persist()
+    data = kept(stratified_kfold(df, target, row_id, folds, seed))
     rows = []
     try:
         for fold in range(folds):
@@ -210,7 +210,7 @@ def _fit_rows(train: DataFrame, columns: Sequence[str], target: str, make) -> Da
 def predictive_power(df: DataFrame, target: str, columns: Sequence[str], row_id: str, folds: int = 5, seed: int = 42,
                      groups: Mapping[str, Sequence[str]] = vocab.POWER_GROUPS, max_iter: int = 1000) -> DataFrame:
     """``(group, mean_auc, std_auc)`` of a class-weighted logistic model, on all features and per group."""
-    data = stratified_kfold(df, target, row_id, folds, seed).persist()
+    data = kept(stratified_kfold(df, target, row_id, folds, seed))
     sets = {"all": list(columns)} | {g: m for g, m in feature_groups(columns, groups).items() if m}
     out = []
     try:
@@ -251,7 +251,7 @@ def train_scoring_model(parts: DataFrame, target: str, numeric: Sequence[str], c
     train = parts.where(F.col(split) == "train")
     preprocess = fit_preprocess(train, numeric, categorical)
     estimator = gradient_boosting(**params) if kind == "GradientBoosting" else random_forest(**params)
-    data = preprocess.transform(train).select(F.col(target).cast("double").alias("label"), "features").persist()
+    data = kept(preprocess.transform(train).select(F.col(target).cast("double").alias("label"), "features"))
     try:
         classifier = estimator.fit(data)
     finally:

@@ -5,17 +5,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorelake.functions import vocab
 from scorelake.operators.drift import recent
 from scorelake.operators.joins import compare_metrics
-from scorelake.worker import walk_chunk
+from scorelake.worker import chain_chunks, decide_requests, summarise_chunks
 
-CHUNK_ROWS = 1_000_000
+CHUNK_ROWS = 20_000_000
 ALL_TIME = 10_000_000_000
 
 
@@ -124,78 +122,33 @@ def fixed_window_limit(requests: DataFrame, key: str, ts: str, limit: Column, or
     """Add ``window_start, position, allowed``: a key's window opens at its first request and closes when
     more than ``window_seconds`` have passed; request number k in it is allowed if k <= limit.
 
-    A key's requests are cut into time chunks, so a busy key spreads over many tasks. Each chunk is
-    summed up as "window closing time on entry -> closing time on exit"; those small summaries are
+    Each key is read in time order as a stream of rows, so no key is held in memory. A key with more
+    than ``chunk_rows`` requests is cut into time chunks that run on different tasks: each chunk is
+    summed up as "window closing time on entry -> closing time on exit", those small summaries are
     chained per key, and every chunk then runs on its own from its known entry. ``order`` breaks ties.
     """
     window = window_seconds * 1_000_000
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    base = requests.withColumns({"__t": micros, "__limit": limit.cast("bigint")})
-    span = chunk_seconds or _chunk_span(base, key, chunk_rows)
+    base = requests.withColumns({
+        "__g": F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit("")),
+        "__t": F.unix_micros(F.col(ts).cast("timestamp")), "__limit": limit.cast("bigint"),
+    })
+    span = chunk_seconds or _chunk_span(base, "__g", chunk_rows)
     cut = base.withColumn("__chunk", F.floor(F.col("__t") / F.lit(span * 1_000_000)).cast("bigint"))
-    kind = requests.schema[key].dataType.simpleString()
-
-    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(pdf["__t"].to_numpy())
-        _, close, count = walk_chunk(t, window)
-        # An entry that closes at u starts at the first request after u. Entries can only be
-        # open until one window after the chunk begins, and equal exits are stored once.
-        reach = int(np.searchsorted(t, t[0] + window, side="right"))
-        last = min(reach, len(t) - 1)
-        keep = [i for i in range(last + 1) if i == last or close[i] != close[i + 1] or count[i] != count[i + 1]]
-        return pd.DataFrame({
-            "k": [pdf["__k"].iloc[0]], "chunk": [pdf["__chunk"].iloc[0]], "n": [len(t)],
-            "first": [t[0]], "last": [t[-1]], "upto": [t[keep].tolist()], "close": [close[keep].tolist()],
-            "count": [count[keep].tolist()],
-        })
-
-    rows = cut.select(F.col(key).alias("__k"), "__chunk", "__t")
-    summary = rows.groupBy("__k", "__chunk").applyInPandas(
-        summarise, f"k {kind}, chunk bigint, n bigint, first bigint, last bigint, upto array<bigint>, "
-        "close array<bigint>, count array<bigint>")
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        open_until, used = -1, 0
-        started = False
-        out = []
-        for r in pdf.sort_values("chunk").itertuples(index=False):
-            out.append((r.k, r.chunk, open_until if started else None, used))
-            if started and open_until >= r.last:
-                used += r.n
-                continue
-            opener = r.first if not started else open_until + 1
-            spot = int(np.searchsorted(np.asarray(r.upto), opener, side="left"))
-            spot = min(spot, len(r.upto) - 1)
-            open_until, used, started = r.close[spot], r.count[spot], True
-        return pd.DataFrame(out, columns=["__k", "__chunk", "__open", "__used"])
-
-    entries = summary.groupBy("k").applyInPandas(chain, f"__k {kind}, __chunk bigint, __open bigint, __used bigint")
-    names = cut.columns
-    extra = "window_start bigint, position bigint, allowed boolean"
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields) + ", " + extra
-
-    def decide(pdf: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["__t", order], kind="stable").reset_index(drop=True)
-        t = pdf["__t"].to_numpy()
-        n = len(t)
-        start, place = np.empty(n, np.int64), np.empty(n, np.int64)
-        open_until, used = entry["__open"].iloc[0], int(entry["__used"].iloc[0])
-        i = 0
-        if not pd.isna(open_until):
-            i = int(np.searchsorted(t, int(open_until), side="right"))
-            start[:i] = int(open_until) - window
-            place[:i] = used + 1 + np.arange(i)
-        while i < n:
-            j = int(np.searchsorted(t, t[i] + window, side="right"))
-            start[i:j] = t[i]
-            place[i:j] = 1 + np.arange(j - i)
-            i = j
-        return pdf[names].assign(window_start=start, position=place, allowed=place <= pdf["__limit"].to_numpy())
-
-    left = cut.withColumn("__k", F.col(key)).groupBy("__k", "__chunk")
-    done = left.cogroup(entries.groupBy("__k", "__chunk")).applyInPandas(decide, schema)
-    return done.withColumn("window_start", F.timestamp_micros("window_start").cast("timestamp_ntz")).drop(
-        "__t", "__limit", "__chunk")
+    if span < ALL_TIME:
+        rows = cut.select("__g", "__chunk", "__t").repartition("__g", "__chunk").sortWithinPartitions("__g", "__chunk", "__t")
+        summary = rows.mapInArrow(
+            lambda batches: summarise_chunks(batches, window),
+            "g string, chunk bigint, n bigint, first bigint, last bigint, upto array<bigint>, close array<bigint>, count array<bigint>")
+        entries = summary.repartition("g").sortWithinPartitions("g", "chunk").mapInArrow(
+            chain_chunks, "__eg string, __echunk bigint, __open bigint, __used bigint")
+        cut = cut.join(entries, (F.col("__g") == F.col("__eg")) & (F.col("__chunk") == F.col("__echunk"))).drop("__eg", "__echunk")
+    else:
+        cut = cut.withColumns({"__open": F.lit(None).cast("bigint"), "__used": F.lit(0).cast("bigint")})
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema.fields)
+    ordered = cut.repartition("__g", "__chunk").sortWithinPartitions("__g", "__chunk", "__t", order)
+    done = ordered.mapInArrow(
+        lambda batches: decide_requests(batches, window), kinds + ", window_start bigint, position bigint, allowed boolean")
+    return done.withColumn("window_start", F.timestamp_micros("window_start").cast("timestamp_ntz"))
 
 
 def _chunk_span(base: DataFrame, key: str, chunk_rows: int) -> int:

@@ -139,12 +139,9 @@ def fit_preprocess(train: DataFrame, numeric: Sequence[str], categorical: Sequen
 
 def anova_f(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
     """``(feature, f)``: ANOVA F of each feature over the classes, from one grouped pass."""
-    per_class = df.groupBy(target).agg(*[
-        F.struct(F.lit(c).alias("feature"), F.count(q(c)).alias("n"), F.avg(q(c)).alias("m"),
-                 F.var_pop(q(c)).alias("v")).alias(f"s{i}")
-        for i, c in enumerate(columns)
-    ])
-    long = per_class.select(F.inline(F.array(*[f"s{i}" for i in range(len(columns))])))
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), q(c).cast("double").alias("x")) for c in columns])
+    rows = df.select(F.col(target), F.inline(pairs))
+    long = rows.groupBy(target, "feature").agg(F.count("x").alias("n"), F.avg("x").alias("m"), F.var_pop("x").alias("v"))
     grand = long.groupBy("feature").agg(
         F.sum("n").alias("rows"), F.count(F.lit(1)).alias("k"), (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand")
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from scorelake.operators.aggregates import with_share
 from scorelake.operators.profile import numeric_columns
 from scorelake.operators.ranking import cut_index, hash_int, hash_unit, number_rows, row_hash
+from scorelake.sizing import small_table
 from scorelake.worker import nearest
 
 SEED = 42
@@ -22,7 +23,14 @@ BLOCK_BYTES = 64 << 20
 
 
 def class_counts(df: DataFrame, target: str) -> DataFrame:
-    return df.groupBy(target).agg(F.count(F.lit(1)).alias("n"))
+    """Rows per class; a literal table when there are few classes, so the rows are counted once."""
+    counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"))
+    small = small_table(counts)
+    return counts if small is None else small
+
+
+def total_rows(counts: DataFrame) -> int:
+    return counts.agg(F.sum("n")).first()[0] or 0
 
 
 def quotas(counts: DataFrame, size: str, wanted: Column, target: str, out: str) -> DataFrame:
@@ -50,9 +58,8 @@ def whole(fraction: float, size: str) -> Column:
     return F.ceil(F.lit(fraction) * F.sum(size).over(Window.partitionBy()))
 
 
-def split_quotas(df: DataFrame, target: str, test_size: float, val_size: float) -> DataFrame:
+def split_quotas(counts: DataFrame, target: str, test_size: float, val_size: float) -> DataFrame:
     """``(class, n, n_test, n_val)``."""
-    counts = class_counts(df, target)
     tested = quotas(counts, "n", whole(test_size, "n"), target, "n_test")
     left = tested.withColumn("__left", F.col("n") - F.col("n_test"))
     return quotas(left, "__left", whole(val_size, "__left"), target, "n_val").drop("__left")
@@ -61,25 +68,27 @@ def split_quotas(df: DataFrame, target: str, test_size: float, val_size: float)
 def stratified_split(df: DataFrame, target: str, row_id: str, test_size: float = 0.2, val_size: float = 0.25,
                      seed: int = SEED) -> DataFrame:
     """Add ``split``: test, val or train, class shares kept. ``row_id`` must be unique."""
-    sizes = split_quotas(df, target, test_size, val_size)
+    counts = class_counts(df, target)
+    sizes = split_quotas(counts, target, test_size, val_size)
     cuts = sizes.select(target, F.inline(F.array(
         F.struct(F.lit(0).alias("cut"), F.col("n_test").alias("k")),
         F.struct(F.lit(1).alias("cut"), (F.col("n_test") + F.col("n_val")).alias("k")),
     )))
-    cut = cut_index(df, target, row_id, cuts, seed, df.count(), "__cut")
+    cut = cut_index(df, target, row_id, cuts, seed, total_rows(counts), "__cut")
     name = F.when(F.col("__cut") == 0, "test").when(F.col("__cut") == 1, "val").otherwise("train")
     return cut.withColumn("split", name).drop("__cut")
 
 
 def stratified_kfold(df: DataFrame, target: str, row_id: str, k: int = 5, seed: int = SEED) -> DataFrame:
     """Add ``fold`` 0..k-1. Class counts of two folds differ by at most one."""
-    cuts = class_counts(df, target).select(
+    counts = class_counts(df, target)
+    cuts = counts.select(
         target, "n", F.explode(F.sequence(F.lit(0), F.lit(k - 2))).alias("cut")
     )
     size = F.floor(F.col("n") / k)
     upto = (F.col("cut") + 1) * size + F.least(F.col("cut") + 1, F.col("n") % k)
     cuts = cuts.select(target, "cut", upto.cast("bigint").alias("k"))
-    return cut_index(df, target, row_id, cuts, seed, df.count(), "fold")
+    return cut_index(df, target, row_id, cuts, seed, total_rows(counts), "fold")
 
 
 def extremes(df: DataFrame, target: str):

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from scorelake.functions import categorize, dates, text, vocab
 from scorelake.functions.clean import first_present
 from scorelake.operators.aggregates import above_mean_flag
-from scorelake.operators.encode import label_encode, onehot
-from scorelake.operators.joins import attach_group_stats, join_applicants, join_jobs
+from scorelake.operators.encode import label_codes, levels, onehot_columns
+from scorelake.operators.joins import join_applicants, join_jobs
+from scorelake.sizing import join_lookup, small_table
 
 
 def joined(prospects: DataFrame, jobs: DataFrame | None = None, applicants: DataFrame | None = None) -> DataFrame:
@@ -26,18 +27,18 @@ def with_temporal(df: DataFrame) -> DataFrame:
 
 
 def with_text(df: DataFrame, comment: str = "comentario") -> DataFrame:
-    c = F.col(comment)
-    return df.withColumns({
+    c, low = F.col(comment), F.col("__low")
+    return text.with_lower(df, comment).withColumns({
         "sentimento_comentario": text.keyword_sentiment(c),
         "pretensao_salarial_extraida": text.extract_salary(c),
         "disponibilidade_dias": text.extract_days(c),
         "engajamento_positivo": text.engagement_flag(c),
         "fit_cultural": text.culture_flag(c),
         "habilidades_tecnicas": F.coalesce(text.extract_terms(c), F.array().cast("array<string>")),
-        **text.term_flags(c),
-        **text.regex_flags(c),
+        **text.term_flags(low),
+        **text.regex_flags(c, low),
         "tamanho_comentario": text.text_length(c),
-    })
+    }).drop("__low")
 
 
 def with_categories(df: DataFrame, comment: str = "comentario") -> DataFrame:
@@ -59,40 +60,81 @@ def with_categories(df: DataFrame, comment: str = "comentario") -> DataFrame:
     return out
 
 
-def with_codes(df: DataFrame) -> DataFrame:
+def group_table(df: DataFrame) -> DataFrame:
+    """``(column, value, n, n_target, target, days, engaged)`` per value of every grouping column, from one pass.
+
+    Everything the codes, one-hot columns and group rates need. When it is small it becomes a literal
+    table, so the source is read once more only to attach the results.
+    """
+    keys = [c for c in vocab.ENCODED_COLUMNS if c in df.columns]
+    none = F.lit(None).cast("double")
+    has = set(df.columns)
+    rows = df.select(
+        F.inline(F.array(*[F.struct(F.lit(k).alias("column"), F.col(k).cast("string").alias("value")) for k in keys])),
+        (F.col("target_sucesso") if "target_sucesso" in has else none).alias("y"),
+        (F.col("dias_no_pipeline") if "dias_no_pipeline" in has else none).alias("d"),
+        (F.col("engajamento_positivo").cast("int") if "engajamento_positivo" in has else none).alias("e"),
+    )
+    grouped = rows.groupBy("column", "value").agg(
+        F.count(F.lit(1)).alias("n"), F.count("y").alias("n_target"), F.avg("y").alias("target"), F.avg("d").alias("days"),
+        F.avg("e").alias("engaged"))
+    small = small_table(grouped)
+    return grouped if small is None else small
+
+
+def with_codes(df: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+    groups = group_table(df) if groups is None else groups
     for c in vocab.ENCODED_COLUMNS:
         if c in df.columns:
-            df = label_encode(df, c)
+            values = groups.where(F.col("column") == c).select(F.col("value").alias(c))
+            codes = label_codes(values, c)
+            key = F.coalesce(F.col(c).cast("string"), F.lit(vocab.UNSPECIFIED))
+            df = df.withColumn("__key", key).join(codes.withColumnsRenamed({"value": "__key", "code": f"{c}_encoded"}), "__key", "left").drop("__key")
             if c in vocab.ONEHOT_COLUMNS:
-                df = onehot(df, c)
+                found = levels(values, c)
+                df = df.withColumns(onehot_columns(c, found)) if found else df
     return df
 
 
-def with_aggregates(df: DataFrame, comment: str = "comentario", fit_on: DataFrame | None = None) -> DataFrame:
+def with_aggregates(df: DataFrame, comment: str = "comentario", fit_on: DataFrame | None = None,
+                    groups: DataFrame | None = None) -> DataFrame:
     """Group statistics and flags. ``fit_on`` fits the group rates on other rows, such as train only."""
     out = df
-    target = F.avg("target_sucesso")
     has = set(df.columns)
+    if groups is None or fit_on is not None:
+        groups = group_table(df if fit_on is None else fit_on)
+
+    def attach(out: DataFrame, key: str, stats: dict[str, str]) -> DataFrame:
+        mine = groups.where((F.col("column") == key) & F.col("value").isNotNull()).select(
+            F.col("value").alias("__value"), *[F.col(s).alias(n) for n, s in stats.items()])
+        return join_lookup(out, mine, lambda a, b: a[key].cast("string") == b["__value"]).drop("__value")
+
     if {"recrutador", "target_sucesso"} <= has:
-        stats = {"taxa_sucesso_recrutador": target, "total_candidatos_recrutador": F.count("target_sucesso")}
+        stats = {"taxa_sucesso_recrutador": "target", "total_candidatos_recrutador": "n_target"}
         if "engajamento_positivo" in has:
-            stats["taxa_engajamento_recrutador"] = F.avg(F.col("engajamento_positivo").cast("int"))
-        out = attach_group_stats(out, "recrutador", stats, fit_on)
-        out = above_mean_flag(out, "taxa_sucesso_recrutador", "recrutador_alto_desempenho")
+            stats["taxa_engajamento_recrutador"] = "engaged"
+        out = attach(out, "recrutador", stats)
+        mine = groups.where((F.col("column") == "recrutador") & F.col("value").isNotNull())
+        if fit_on is None:
+            # Mean over rows of the group rate, from the groups themselves.
+            mean = mine.agg(F.sum(F.col("target") * F.col("n")) / F.sum("n")).scalar()
+        else:
+            mean = out.agg(F.avg("taxa_sucesso_recrutador")).scalar()
+        above = F.col("taxa_sucesso_recrutador") > mean
+        out = out.withColumn("recrutador_alto_desempenho", F.coalesce(above, F.lit(False)).cast("int"))
     if "area_vaga" in has:
-        stats = {"popularidade_area": F.count(F.lit(1)), "taxa_sucesso_area": target}
-        if "dias_no_pipeline" in has:
-            stats["tempo_medio_pipeline_area"] = F.avg("dias_no_pipeline")
-        out = attach_group_stats(out, "area_vaga", stats, fit_on)
+        stats = {"popularidade_area": "n", "taxa_sucesso_area": "target"}
         if "dias_no_pipeline" in has:
-            mean = df.agg(F.avg("dias_no_pipeline")).scalar()
-            out = out.withColumn("tempo_acima_media", (F.col("dias_no_pipeline") > mean).cast("int"))
+            stats["tempo_medio_pipeline_area"] = "days"
+        out = attach(out, "area_vaga", stats)
+    if {"area_vaga", "dias_no_pipeline"} <= has:
+        out = above_mean_flag(out, "dias_no_pipeline", "tempo_acima_media", df)
     if "tipo_contratacao" in has:
-        out = attach_group_stats(out, "tipo_contratacao", {"taxa_sucesso_contratacao": target}, fit_on)
+        out = attach(out, "tipo_contratacao", {"taxa_sucesso_contratacao": "target"})
         out = out.withColumn("ranking_contratacao", categorize.contract_rank(F.col("tipo_contratacao")))
     if comment in has:
-        c = F.col(comment)
-        out = out.withColumns({"qtd_palavras_comentario": text.word_count(c), **text.keyword_group_flags(c)})
+        flags = text.keyword_group_flags(F.col("__low"))
+        out = text.with_lower(out, comment).withColumns({"qtd_palavras_comentario": text.word_count(F.col(comment)), **flags}).drop("__low")
     if {"menciona_valores", "engajamento_positivo"} <= has and "menciona_outra_proposta" in out.columns:
         out = out.withColumn("risco_desistencia", text.withdrawal_risk(
             F.col("menciona_outra_proposta"), F.col("menciona_valores"), F.col("engajamento_positivo")))
@@ -101,5 +143,6 @@ def with_aggregates(df: DataFrame, comment: str = "comentario", fit_on: DataFram
 
 def prospect_features(prospects: DataFrame, jobs: DataFrame | None = None, applicants: DataFrame | None = None) -> DataFrame:
     """Temporal, text, category, code and group features of joined prospects."""
-    base = with_text(with_temporal(joined(prospects, jobs, applicants)))
-    return with_aggregates(with_codes(with_categories(base)))
+    base = with_categories(with_text(with_temporal(joined(prospects, jobs, applicants))))
+    groups = group_table(base)
+    return with_aggregates(with_codes(base, groups), groups=groups)

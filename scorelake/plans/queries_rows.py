@@ -10,9 +10,17 @@ from scorelake.operators.joins import left_join
 from scorelake.plans import stand_ins as si
 from scorelake.plans.registry import any_of, bit, joined, query, quote, r, rounded, sql_map, table
 from scorelake.plans.scoring import decide
+from scorelake.sizing import spread
 
 C = F.col
 
+
+
+def documents(spark, sf):
+    """Texts dealt out to all cores when the table is one small file."""
+    return spread(table(spark, sf, "documents").select("doc_id", "text", "lang"))
+
+
 # B ---------------------------------------------------------------------------------------------
 
 NUM = {n: f"coalesce(try_cast({n} AS DOUBLE), {d})" for n, d in vocab.NUMERIC_DEFAULTS.items()}
@@ -204,7 +212,7 @@ def sentiment_sql(pos, neg):
 @query("keyword_sentiment", f"SELECT doc_id, {sentiment_sql(vocab.POSITIVE_TERMS, vocab.NEGATIVE_TERMS)} AS padrao, "
        f"{sentiment_sql(LIKED, DISLIKED)} AS escolhido FROM documents")
 def _(spark, sf):
-    return rounded(table(spark, sf, "documents").select(
+    return rounded(documents(spark, sf).select(
         "doc_id", text.keyword_sentiment(C("text")).alias("padrao"), text.keyword_sentiment(C("text"), LIKED, DISLIKED).alias("escolhido")))
 
 
@@ -219,7 +227,7 @@ WORD_LIST = "regexp_extract_all({0}, '[^\\s\\x0b\\x1c-\\x1f\\x85\\xa0]+')"
 def _(spark, sf):
     tokens = table(spark, sf, "benchmark").select(F.explode(text.words(F.lower("text"))).alias("token"))
     lexicon = tokens.groupBy("token").agg(((F.count(F.lit(1)) % 7) / 3.0 - 1).alias("polarity"))
-    return rounded(text.lexicon_sentiment(table(spark, sf, "documents"), "doc_id", "text", lexicon), 5)
+    return rounded(text.lexicon_sentiment(documents(spark, sf), "doc_id", "text", lexicon), 5)
 
 
 def salary_sql(column):
@@ -231,13 +239,13 @@ def salary_sql(column):
 @query("extract_salary", f"""SELECT doc_id, {r(f"CASE WHEN v < 100 AND contains(lower(text), 'k') THEN v * 1000 ELSE v END", 4)} AS salario
   FROM (SELECT doc_id, text, {salary_sql('text')} AS v FROM documents)""")
 def _(spark, sf):
-    return rounded(table(spark, sf, "documents").select("doc_id", text.extract_salary(C("text")).alias("salario")), 4)
+    return rounded(documents(spark, sf).select("doc_id", text.extract_salary(C("text")).alias("salario")), 4)
 
 
 @query("extract_days", """SELECT doc_id, try_cast(nullif(regexp_extract(lower(text), '(\\d+)\\s*dias?', 1), '') AS BIGINT) AS dias,
   try_cast(nullif(regexp_extract(lower(text), '(\\d{2,9})\\s*[a-z]', 1), '') AS BIGINT) AS outro FROM documents""")
 def _(spark, sf):
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id", text.extract_days(C("text")).alias("dias"), text.extract_days(C("text"), r"(\d{2,9})\s*[a-z]").alias("outro"))
 
 
@@ -252,7 +260,7 @@ ENGAGED = (["tion", "aux"], ["ering", "éonp"], ["benef", "rement"], ["queai"])
   {bit(engaged_sql('lower(text)', vocab.ENGAGEMENT_TERMS, vocab.ENGAGEMENT_BLOCKERS, vocab.HIRED_TERMS, vocab.HIRED_DENIALS))} AS padrao,
   {bit(engaged_sql('lower(text)', *ENGAGED))} AS escolhido FROM documents""")
 def _(spark, sf):
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id", text.engagement_flag(C("text")).cast("int").alias("padrao"),
         text.engagement_flag(C("text"), *ENGAGED).cast("int").alias("escolhido"))
 
@@ -277,14 +285,14 @@ def terms_sql(terms):
 
 @query("extract_terms", f"SELECT doc_id, {terms_sql(vocab.COMMENT_SKILLS)} AS habilidades, {terms_sql(FOUND_TERMS)} AS termos FROM documents")
 def _(spark, sf):
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id", joined(text.extract_terms(C("text"))).alias("habilidades"), joined(text.extract_terms(C("text"), FOUND_TERMS)).alias("termos"))
 
 
 @query("term_flags", "SELECT doc_id, " + ", ".join(f"CAST({term_sql(t)} AS INTEGER) AS menciona_{t}" for t in FOUND_TERMS + vocab.FLAGGED_SKILLS) + " FROM documents")
 def _(spark, sf):
-    flags = text.term_flags(C("text"), FOUND_TERMS + vocab.FLAGGED_SKILLS)
-    return table(spark, sf, "documents").select("doc_id", *[c.cast("int").alias(n) for n, c in flags.items()])
+    flags = text.term_flags(C("__low"), FOUND_TERMS + vocab.FLAGGED_SKILLS)
+    return text.with_lower(documents(spark, sf), "text").select("doc_id", *[c.cast("int").alias(n) for n, c in flags.items()])
 
 
 MORE_PATTERNS = {**vocab.MENTION_PATTERNS, "menciona_artigo": r"\bune\b|the (and|of)", "menciona_acento": r"É[a-z]AUX?"}
@@ -293,8 +301,8 @@ MORE_PATTERNS = {**vocab.MENTION_PATTERNS, "menciona_artigo": r"\bune\b|the (and
 @query("regex_flags", "SELECT doc_id, " + ", ".join(
     f"{bit(f'regexp_matches(text, {quote(p)}, {quote(chr(105))})')} AS {n}" for n, p in MORE_PATTERNS.items()) + " FROM documents")
 def _(spark, sf):
-    flags = text.regex_flags(C("text"), MORE_PATTERNS)
-    return table(spark, sf, "documents").select("doc_id", *[c.cast("int").alias(n) for n, c in flags.items()])
+    flags = text.regex_flags(C("text"), C("__low"), MORE_PATTERNS)
+    return text.with_lower(documents(spark, sf), "text").select("doc_id", *[c.cast("int").alias(n) for n, c in flags.items()])
 
 
 GROUPS = {**vocab.MENTION_GROUPS, "menciona_frances": ["éaux", "ouè", "tion des"], "menciona_ingles_escrito": ["the ", "ing "]}
@@ -302,26 +310,27 @@ GROUPS = {**vocab.MENTION_GROUPS, "menciona_frances": ["éaux", "ouè", "tion de
 
 @query("keyword_group_flags", "SELECT doc_id, " + ", ".join(f"{bit(any_of('lower(text)', g))} AS {n}" for n, g in GROUPS.items()) + " FROM documents")
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", *[c.cast("int").alias(n) for n, c in text.keyword_group_flags(C("text"), GROUPS).items()])
+    flags = text.keyword_group_flags(C("__low"), GROUPS)
+    return text.with_lower(documents(spark, sf), "text").select("doc_id", *[c.cast("int").alias(n) for n, c in flags.items()])
 
 
 @query("text_length", "SELECT doc_id, CAST(coalesce(length(text), 0) AS INTEGER) AS tamanho FROM documents")
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.text_length(C("text")).cast("int").alias("tamanho"))
+    return documents(spark, sf).select("doc_id", text.text_length(C("text")).cast("int").alias("tamanho"))
 
 
 @query("word_count", f"SELECT doc_id, CAST(coalesce(len({WORD_LIST.format('text')}), 0) AS INTEGER) AS palavras FROM documents")
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.word_count(C("text")).cast("int").alias("palavras"))
+    return documents(spark, sf).select("doc_id", text.word_count(C("text")).cast("int").alias("palavras"))
 
 
 @query("withdrawal_risk", f"""SELECT doc_id, CAST({any_of('lower(text)', ['éaux', 'ering the'])} OR ({any_of('lower(text)', ['tion'])}
   AND NOT {engaged_sql('lower(text)', *ENGAGED)}) AS INTEGER) AS risco FROM documents""")
 def _(spark, sf):
-    low = F.lower("text")
+    low = C("__low")
     risk = text.withdrawal_risk(
         text.contains_any(low, ["éaux", "ering the"]), text.contains_any(low, ["tion"]), text.engagement_flag(C("text"), *ENGAGED))
-    return table(spark, sf, "documents").select("doc_id", risk.alias("risco"))
+    return text.with_lower(documents(spark, sf), "text").select("doc_id", risk.alias("risco"))
 
 
 # E ---------------------------------------------------------------------------------------------
@@ -333,7 +342,7 @@ def ladder_sql(low, steps, otherwise):
 
 @query("seniority_from_title", f"SELECT doc_id, {ladder_sql('lower(substring(text, 1))', vocab.SENIORITY_LADDER, vocab.UNSPECIFIED)} AS senioridade FROM documents")
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", categorize.seniority_from_title(C("text")).alias("senioridade"))
+    return documents(spark, sf).select("doc_id", categorize.seniority_from_title(C("text")).alias("senioridade"))
 
 
 PARTS = [("Anel", ["ring", "washer"]), ("Corpo", ["widget", "gear"]), ("Fixo", ["bolt", "nut"])]
@@ -386,7 +395,7 @@ def reclass_sql(low, success, denials, failure, progress):
   SELECT doc_id, categoria, CAST(categoria = 'sucesso' AS INTEGER) AS target_sucesso FROM c""")
 def _(spark, sf):
     start = F.when(C("lang") == "de", "indefinido").otherwise(C("lang"))
-    out = table(spark, sf, "documents").select("doc_id", categorize.reclassify(start, C("text"), *RECLASS).alias("categoria"))
+    out = documents(spark, sf).select("doc_id", categorize.reclassify(start, C("text"), *RECLASS).alias("categoria"))
     return out.withColumn("target_sucesso", categorize.binary_target(C("categoria")))
 
 
@@ -524,4 +533,4 @@ SELECT row_id, trim(CASE WHEN p >= 0.5 THEN yes ELSE no END, ' ' || chr(10)) AS
 def _(spark, sf):
     df = si.requests(spark, sf).withColumnRenamed("p", "prediction_probability")
     skills = clean.normalize_list(C("habilidades"), df.schema["habilidades"].dataType)
-    return decide(df.withColumn("habilidades", skills)).select("row_id", "comment")
+    return decide(spread(df.withColumn("habilidades", skills))).select("row_id", "comment")

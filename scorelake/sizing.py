@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 MAX_ROWS = 20_000
 MAX_BYTES = 8 << 20
+SPREAD_BYTES = 256 << 20
 
 
 def small_table(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame | None:
@@ -24,6 +25,29 @@ def small_table(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BY
     return df.sparkSession.createDataFrame(got, schema=df.schema)
 
 
+def spread(df: DataFrame, max_bytes: int = SPREAD_BYTES) -> DataFrame:
+    """Deal a small scan out to every core before heavy per-row work.
+
+    A file of one row group is one task. Only an input whose planned size is below ``max_bytes`` is
+    dealt out; a large one is never shuffled for this.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < max_bytes else df
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` persisted for repeated passes, on at least one partition per core. The caller unpersists."""
+    data = df.persist()
+    data.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if data.rdd.getNumPartitions() >= cores:
+        return data
+    wide = data.repartition(cores).persist()
+    wide.count()
+    data.unpersist()
+    return wide
+
+
 def join_lookup(
     df: DataFrame,
     lookup: DataFrame,
