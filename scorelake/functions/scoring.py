@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorelake.functions import vocab
 from scorelake.functions.clean import map_lookup
-from scorelake.functions.text import let
 
 
 def recommend(probability: Column) -> dict[str, Column]:
@@ -104,18 +103,14 @@ def education_text(education: Column) -> Column:
     )
 
 
-def _phrase(prefix: str, c: Column) -> Column:
-    """Prefix and value, or nothing when the value is blank."""
-    return F.when(blank(c), F.lit("")).otherwise(F.concat(F.lit(prefix), c))
-
-
-def _bullets(title: str, points: list[Column]) -> Column:
+def _bullets(title: str, points: list[Column], tail: str = "\n") -> Column:
     """A titled list of the points that are not NULL, or an empty text."""
     lines = F.concat_ws("\n", *[F.concat(F.lit("• "), p) for p in points])
-    return let(lines, lambda t: F.when(t != "", F.concat(F.lit(title + "\n"), t, F.lit("\n"))).otherwise(F.lit("")))
+    return F.coalesce(F.concat(F.lit(title + "\n"), F.nullif(lines, F.lit("")), F.lit(tail)), F.lit(""))
 
 
-def explain_text(
+def with_explanation(
+    df: DataFrame,
     prediction: Column,
     probability: Column,
     years: Column,
@@ -125,43 +120,51 @@ def explain_text(
     title: Column,
     job_area: Column,
     seniority: Column,
-) -> Column:
-    """Explanation of one decision: strengths and cautions, or reasons and advice."""
-    area, wanted = known_area(education_area), known_area(job_area)
-    matched = soft_area_match(education_area, job_area)
+    out: str = "comment",
+) -> DataFrame:
+    """Add the explanation of each decision: strengths and cautions, or reasons and advice.
+
+    Shared parts are columns of their own, in steps, so each is worked out once per row.
+    """
+    first = df.withColumns({
+        "__area": known_area(education_area), "__wanted": known_area(job_area), "__years": years_text(years),
+        "__band": confidence_band(probability), "__title": F.nullif(title, F.lit("")), "__level": F.nullif(seniority, F.lit("")),
+    })
     fit = seniority_fit(seniority, years)
-    text = years_text(years)
-    band = confidence_band(probability)
-    place = F.concat(_phrase(" na área de ", wanted), _phrase(", nível ", seniority), F.lit(".\n\n"))
-    said = F.coalesce(area, F.lit("None"))
-    asked = F.coalesce(wanted, F.lit("None"))
+    area, wanted, text, band = F.col("__area"), F.col("__wanted"), F.col("__years"), F.col("__band")
+    low_area, low_wanted = F.lower(area), F.lower(wanted)
+    second = first.withColumns({
+        "__matched": F.coalesce(F.contains(low_wanted, low_area) | F.contains(low_area, low_wanted), F.lit(False)),
+        "__caution": F.when(~fit["ok"], fit["reason"]),
+        "__place": F.concat(
+            F.coalesce(F.concat(F.lit(" na área de "), wanted), F.lit("")),
+            F.coalesce(F.concat(F.lit(", nível "), F.col("__level")), F.lit("")), F.lit(".\n\n")),
+    })
+    matched, caution, place = F.col("__matched"), F.col("__caution"), F.col("__place")
+    said, asked = F.coalesce(area, F.lit("None")), F.coalesce(wanted, F.lit("None"))
 
     strengths = _bullets("Pontos fortes:", [
         F.when(matched, F.concat(F.lit("Formação em "), area, F.lit(" compatível com a área da vaga ("), wanted, F.lit(")"))),
         F.when(years > 3, F.concat(F.lit("Experiência sólida de "), text)),
         F.when(unemployed < 0.5, F.lit("Curto período sem emprego, indicando atualização profissional")),
         F.when(F.size(skills) > 0, F.concat(F.lit("Competências relevantes: "), F.array_join(F.slice(skills, 1, 3), ", "))),
-    ])
+    ], "\n\n")
     cautions = _bullets("Áreas de atenção:", [
         F.when(~matched, F.concat(F.lit("Formação em "), said, F.lit(" diferente da área da vaga ("), asked, F.lit(")"))),
-        F.when(~fit["ok"], fit["reason"]),
+        caution,
     ])
     positive = F.concat(
-        F.lit("Análise indica "), band, F.lit(" compatibilidade com a vaga"), _phrase(" de ", title), place,
-        let(strengths, lambda s: F.concat(s, F.when(s != "", F.lit("\n")).otherwise(F.lit("")))), cautions,
-    )
+        F.lit("Análise indica "), band, F.lit(" compatibilidade com a vaga"),
+        F.coalesce(F.concat(F.lit(" de "), F.col("__title")), F.lit("")), place, strengths, cautions)
 
     reasons = _bullets("Principais considerações:", [
-        F.when(~matched & area.isNotNull() & wanted.isNotNull(), F.concat(
+        F.when(~matched, F.concat(
             F.lit("Incompatibilidade entre a formação do candidato ("), area, F.lit(") e a área da vaga ("), wanted, F.lit(")"))),
-        F.when(area.isNull() & wanted.isNotNull(), F.concat(
-            F.lit("Candidato não especificou área de formação para vaga na área de "), wanted)),
-        F.when(area.isNotNull() & wanted.isNull(), F.concat(
-            F.lit("Candidato com formação em "), area, F.lit(", mas área da vaga não especificada"))),
-        F.when(~fit["ok"], fit["reason"]),
+        F.when(area.isNull(), F.concat(F.lit("Candidato não especificou área de formação para vaga na área de "), wanted)),
+        F.when(wanted.isNull(), F.concat(F.lit("Candidato com formação em "), area, F.lit(", mas área da vaga não especificada"))),
+        caution,
         F.when(years < 2, F.concat(F.lit("Experiência limitada de apenas "), text)),
-        F.when(unemployed > 1, F.concat(
-            F.lit("Período de "), one_decimal(unemployed), F.lit(" anos sem emprego formal na área"))),
+        F.when(unemployed > 1, F.concat(F.lit("Período de "), one_decimal(unemployed), F.lit(" anos sem emprego formal na área"))),
     ])
     verdict = F.when(probability < 0.5, F.lit("não atender completamente aos requisitos")).otherwise(
         F.lit("atender apenas parcialmente aos requisitos"))
@@ -171,7 +174,8 @@ def explain_text(
         .otherwise(F.lit("\nO candidato atende apenas parcialmente aos requisitos, podendo necessitar de treinamento adicional ou supervisão mais próxima."))
     )
     negative = F.concat(
-        F.lit("O perfil apresenta "), band, F.lit(" probabilidade de "), verdict, _phrase(" da posição de ", title), place,
-        reasons, advice,
-    )
-    return F.regexp_replace(F.when(prediction == 1, positive).otherwise(negative), r"^\s+|\s+$", "")
+        F.lit("O perfil apresenta "), band, F.lit(" probabilidade de "), verdict,
+        F.coalesce(F.concat(F.lit(" da posição de "), F.col("__title")), F.lit("")), place, reasons, advice)
+    text_out = F.trim(F.when(prediction == 1, positive).otherwise(negative), F.lit(" \n\t\r"))
+    helpers = ("area", "wanted", "years", "band", "title", "level", "matched", "caution", "place")
+    return second.withColumn(out, text_out).drop(*[f"__{h}" for h in helpers])

@@ -33,10 +33,10 @@ def decide(scored: DataFrame, probability: str = "prediction_probability") -> Da
         "vaga_info": scoring.job_info(*job),
         "match_score": scoring.match_score(p, scoring.has_job(*job), matched),
     })
-    return out.withColumn("comment", scoring.explain_text(
-        F.col("prediction"), p, number_or_null(scored, "experiencia"), text_or_null(scored, "area_formacao"),
+    return scoring.with_explanation(
+        out, F.col("prediction"), p, number_or_null(scored, "experiencia"), text_or_null(scored, "area_formacao"),
         number_or_null(scored, "tempo_desempregado"), skills, job[1], job[2], job[3],
-    ))
+    )
 
 
 def score_requests(requests: DataFrame, model) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scorelake.functions import categorize, dates
 from scorelake.plans.registry import table
+from scorelake.sizing import spread
 
 SPLIT_TIME = dt.datetime(2024, 1, 16)
 STATUS = {"F": "Aprovado", "P": "Prospect", "O": "Desistiu"}
@@ -146,7 +147,7 @@ def numbers(spark, sf) -> DataFrame:
 
 def requests(spark, sf) -> DataFrame:
     """Orders, customers and nations as scoring requests, with values the rules must catch."""
-    orders = table(spark, sf, "orders")
+    orders = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"))
     customers = table(spark, sf, "customer")
     seg = F.col("c_mktsegment")
     key = F.col("o_orderkey")
