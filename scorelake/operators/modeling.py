@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorelake.functions import vocab
-from scorelake.operators.evaluate import ratio, score_curve
+from scorelake.operators.evaluate import auc_of, ratio, score_curve
 from scorelake.operators.insight import feature_groups
 from scorelake.operators.prepare import fit_preprocess
 from scorelake.operators.sampling import random_oversample, stratified_kfold
@@ -212,18 +212,18 @@ def predictive_power(df: DataFrame, target: str, columns: Sequence[str], row_id:
     """``(group, mean_auc, std_auc)`` of a class-weighted logistic model, on all features and per group."""
     data = kept(stratified_kfold(df, target, row_id, folds, seed))
     sets = {"all": list(columns)} | {g: m for g, m in feature_groups(columns, groups).items() if m}
-    out = []
+    scores: dict[str, list[float]] = {name: [] for name in sets}
     try:
-        for name, members in sets.items():
-            scores = []
-            for fold in range(folds):
-                train = balanced_weight(data.where(F.col("fold") != fold), target)
+        for fold in range(folds):
+            train = balanced_weight(data.where(F.col("fold") != fold), target)
+            val = data.where(F.col("fold") == fold)
+            for name, members in sets.items():
                 fitted = logistic(max_iter, weight="weight").fit(vectorize(train, members, target, ["weight"]))
-                scored = batch_score(vectorize(data.where(F.col("fold") == fold), members, target), fitted)
-                scores.append(metrics_of(scored, "label", "prediction_probability")["auc"])
-            out.append((name, float(np.mean(scores)), float(np.std(scores))))
+                scored = batch_score(vectorize(val, members, target), fitted)
+                scores[name].append(auc_of(score_curve(scored, "label", "prediction_probability")).first()["auc"])
     finally:
         data.unpersist()
+    out = [(name, float(np.mean(v)), float(np.std(v))) for name, v in scores.items()]
     return df.sparkSession.createDataFrame(out, "`group` string, mean_auc double, std_auc double")
 
 

@@ -11,7 +11,8 @@ from scorelake.operators import modeling as ml
 from scorelake.operators import prepare as prep
 from scorelake.operators import sampling as smp
 from scorelake.plans import stand_ins as si
-from scorelake.plans.registry import query, quote, r, rounded, table
+from scorelake.plans.registry import query, r, rounded, table
+from scorelake.session import landed
 
 C = F.col
 
@@ -168,7 +169,7 @@ def _(spark, sf):
 def _(spark, sf):
     from scorelake.plans.features import prospect_features
 
-    full = prospect_features(si.plan_input(spark, sf), si.jobs(spark, sf))
+    full = landed(prospect_features(si.plan_input(spark, sf), si.jobs(spark, sf)))
     return rounded(prep.feature_matrix(full, "target_sucesso"))
 
 
@@ -199,7 +200,7 @@ TREE_FEATURES = ["valor", "dias_no_pipeline", "mes", "tamanho", "preco", "saldo"
 
 def tree_table(spark, sf):
     """Numeric features with a label that depends on them, so a model has something to learn."""
-    df = prep.impute_median(training_table(spark, sf), TREE_FEATURES)
+    df = prep.impute_median(landed(training_table(spark, sf)), TREE_FEATURES)
     y = ((C("valor") > 250000) & (C("dias_no_pipeline") > 200) | (C("target_sucesso") == 1) & (C("tamanho") > 40)).cast("int")
     return df.select("row_id", y.alias("y"), *TREE_FEATURES, *ORDER_CAT)
 
@@ -261,7 +262,7 @@ def _(spark, sf):
 
 
 def split_trees(spark, sf):
-    return smp.stratified_split(tree_table(spark, sf), "y", "row_id")
+    return landed(smp.stratified_split(tree_table(spark, sf), "y", "row_id"))
 
 
 def metric_table(spark, models):

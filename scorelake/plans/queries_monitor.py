@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -18,7 +16,7 @@ from scorelake.plans.drift import check_drift
 from scorelake.plans.queries_model import ACC, CELLS, F1, PRE, REC, SPLIT, split_orders
 from scorelake.plans.queries_tables import CORRS, FEATURE_SQL, FEATURES, GROUP_OF, feats
 from scorelake.plans.registry import query, r, rounded, table
-from scorelake.session import checkpoint_root
+from scorelake.session import scratch_dir as scratch
 from scorelake.sources import readers, writers
 from scorelake.streaming import jobs
 
@@ -26,12 +24,6 @@ C = F.col
 SPLIT_AT = "TIMESTAMP '2024-01-16'"
 
 
-def scratch(spark) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder; a local one only where none is named."""
-    root = checkpoint_root(spark)
-    return f"{root.rstrip('/')}/scorelake-{uuid.uuid4().hex}" if root else tempfile.mkdtemp(prefix="scorelake-")
-
-
 # A ---------------------------------------------------------------------------------------------
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -27,3 +30,17 @@ def build_session(app: str = "scorelake", master: str | None = None, **conf: str
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for cut lineage, if any."""
     return spark.conf.get("spark.checkpoint.dir", None)
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A fresh folder under the cluster's shared checkpoint folder; a local one only where none is named."""
+    root = checkpoint_root(spark)
+    return f"{root.rstrip('/')}/scorelake-{uuid.uuid4().hex}" if root else tempfile.mkdtemp(prefix="scorelake-")
+
+
+def landed(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet on shared storage and read back, so that repeated passes do not redo
+    its joins and a lost executor costs a re-read only."""
+    path = scratch_dir(df.sparkSession) + "/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
