@@ -144,7 +144,12 @@ def training_table(spark, sf):
                          "job_id", "tipo_contratacao", "area_vaga", "segmento")
 
 
-@query("onehot_ignore_unknown")
+TRAINING = si.LABELLED_JOBS + """, training AS (SELECT j.*, CAST(month(data_candidatura) AS INTEGER) AS mes, c_acctbal AS saldo, c_mktsegment AS segmento
+  FROM labelled_jobs j LEFT JOIN customer ON c_custkey = applicant_id)"""
+CODES = "CASE tipo_contratacao WHEN '1-URGENT' THEN '1.0|0.0|0.0|0.0' WHEN '2-HIGH' THEN '0.0|1.0|0.0|0.0' WHEN '3-MEDIUM' THEN '0.0|0.0|1.0|0.0' WHEN '4-NOT SPECIFIED' THEN '0.0|0.0|0.0|1.0' ELSE '0.0|0.0|0.0|0.0' END"
+
+
+@query("onehot_ignore_unknown", f"WITH {TRAINING} SELECT tipo_contratacao, count(*) AS n, 4 AS width, {CODES} AS code FROM training GROUP BY 1")
 def _(spark, sf):
     from pyspark.ml.functions import vector_to_array
 
@@ -155,7 +160,12 @@ def _(spark, sf):
     return vec.groupBy("tipo_contratacao").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("width"), F.max(F.array_join("v", "|")).alias("code"))
 
 
-@query("preprocess_fit")
+FILLED = "filled AS (SELECT row_id, " + ", ".join(f"coalesce({c}, (SELECT median({c}) FROM training))::DOUBLE AS {c}" for c in ORDER_NUM) + " FROM training)"
+WIDTH = "CAST(" + " + ".join(f"(SELECT count(DISTINCT coalesce({c}, 'missing')) FROM training)" for c in ORDER_CAT) + f" + {len(ORDER_NUM)} AS INTEGER)"
+
+
+@query("preprocess_fit", f"WITH {TRAINING}, {FILLED} SELECT row_id, {WIDTH} AS width, " + ", ".join(
+    f"{r(f'({c} - (SELECT avg({c}) FROM filled)) / (SELECT stddev_pop({c}) FROM filled)')} AS v{i}" for i, c in enumerate(ORDER_NUM)) + " FROM filled")
 def _(spark, sf):
     from pyspark.ml.functions import vector_to_array
 

@@ -295,7 +295,7 @@ def _(spark, sf):
     return text.with_lower(documents(spark, sf), "text").select("doc_id", *[c.cast("int").alias(n) for n, c in flags.items()])
 
 
-MORE_PATTERNS = {**vocab.MENTION_PATTERNS, "menciona_artigo": r"\bune\b|the (and|of)", "menciona_acento": r"É[a-z]AUX?"}
+MORE_PATTERNS = {**vocab.MENTION_PATTERNS, "menciona_artigo": r"\sune\s|the (and|of)", "menciona_acento": r"É[a-z]AUX?"}
 
 
 @query("regex_flags", "SELECT doc_id, " + ", ".join(

@@ -57,6 +57,11 @@ def append_metrics(rows: DataFrame, path: str) -> None:
     write_table(rows.select("timestamp", "metric", "value"), path, "append")
 
 
+def set_baseline(rows: DataFrame, path: str) -> None:
+    """Store ``(metric, value)`` rows as the baseline, in place of the one before."""
+    write_table(rows.select("metric", "value"), path)
+
+
 def save_training_stats(stats: FeatureStats, root: str) -> None:
     spark = stats.numeric.sparkSession
     write_table(stats.numeric, f"{root}/numeric")

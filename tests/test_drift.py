@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from scorelake.operators import drift as dr
 from scorelake.operators import monitor as mon
-from scorelake.plans.drift import check_drift
+from scorelake.plans.drift import check_drift, latest_or_check
 from scorelake.sources import readers, writers
 
 NOW = dt.datetime(2024, 1, 31)
@@ -55,6 +55,17 @@ def test_report_without_data(spark, log):
     assert row["status"] == "error" and row["drift_detected"] is False and row["drift_score"] is None
 
 
+def test_latest_or_check(spark, log, tmp_path):
+    root = str(tmp_path / "r")
+    first = latest_or_check(spark, root, log, training(spark), as_of=NOW).first()
+    again = latest_or_check(spark, root, log.where("1 = 0"), training(spark)).first()
+    assert first == again and first["timestamp"] == NOW
+    base = spark.createDataFrame([("accuracy", 0.9)], "metric string, value double")
+    writers.set_baseline(base, str(tmp_path / "b"))
+    writers.set_baseline(base, str(tmp_path / "b"))
+    assert spark.read.parquet(str(tmp_path / "b")).count() == 1
+
+
 def test_stats_store(spark, tmp_path):
     df = spark.createDataFrame([(1.0, True, "a"), (3.0, False, "a"), (None, None, None)], "x double, b boolean, c string")
     stats = dr.feature_stats(df, ["x", "b", "c", "absent"], NOW)
