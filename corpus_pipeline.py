@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorelake.llm import bpe, decontaminate, secrets, simhash
+from scorelake.llm import bpe, cotrain, decontaminate, secrets, simhash
 from scorelake.llm.common import landed, table, tokenizer_path
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return cotrain.keep_good(docs, cotrain.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the least id."""
     return simhash.keep_one(docs)
@@ -29,6 +34,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", good_quality),
     ("near_duplicates", near_duplicates),
     ("benchmark", benchmark_free),
     ("secrets", without_secrets),

@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelake.llm import bpe, decontaminate, nearest, secrets, simhash, substring_dedup, token_output
+from scorelake.llm import bpe, cotrain, decontaminate, lm, nearest, secrets, simhash, substring_dedup, token_output, toxicity
 from scorelake.llm.common import scratch_dir, table, tokenizer_path
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
 
@@ -25,6 +29,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -38,11 +47,17 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(docs, secrets.fit(docs))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cotrain.score(docs, cotrain.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_substring_dedup, op3_token_output, op4_decontaminate, op6_bpe, op7_nearest, op8_secrets, op10_simhash)}
+    f.__name__: f for f in (
+        op1_lm_scoring, op2_substring_dedup, op3_token_output, op4_decontaminate, op5_toxicity, op6_bpe, op7_nearest, op8_secrets, op9_quality, op10_simhash)}
 ORACLES: dict[str, str] = {}
