@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from scorelake.session import landed, scratch_dir
 
-__all__ = ["table", "landed", "scratch_dir", "batches", "tokenizer_path", "read_text", "UnitCache", "LibraryUnits", "texts_of", "crc_mod"]
+__all__ = ["table", "landed", "scratch_dir", "batches", "tokenizer_path", "read_text", "UnitCache", "LibraryUnits", "texts_of", "crc_mod", "coded_words", "gathered"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,30 @@ def texts_of(column: pa.Array) -> list[str]:
     return [t if t is not None else "" for t in column.to_pylist()]
 
 
+def coded_words(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(codes, bounds, words): lower-cased (A-Z) words between the six ASCII blanks as codes into the distinct words; text i has codes
+    ``bounds[i]`` to ``bounds[i + 1]``. Null texts have none."""
+    import pyarrow.compute as pc
+
+    flat = pc.fill_null(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts, "")
+    split = pc.ascii_split_whitespace(pc.ascii_lower(flat))
+    pieces, ends = split.flatten(), split.offsets.to_numpy().astype(np.int64)
+    real = pc.binary_length(pieces).to_numpy(zero_copy_only=False) > 0  # blanks at the ends of a text leave empty pieces
+    kept = np.concatenate([[0], np.cumsum(real)])
+    coded = pc.dictionary_encode(pieces.filter(pa.array(real)))
+    return coded.indices.to_numpy(), kept[ends - ends[0]], coded.dictionary.cast(pa.binary()).to_pylist()
+
+
+def gathered(codes: np.ndarray, values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, sizes): the little-endian 32-bit ids of ``values`` in the order of ``codes``, and how many each code gives."""
+    lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
+    flat = np.frombuffer(b"".join(values), "<u4")
+    start = np.cumsum(lengths) - lengths
+    sizes = lengths[codes]
+    shift = start[codes] - (np.cumsum(sizes) - sizes)
+    return flat[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))], sizes
+
+
 def batches(source: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.Table]:
     """Runs of whole rows of about ``limit`` text bytes; one longer row makes a run of its own."""
     for batch in source:
@@ -110,6 +134,14 @@ class LibraryUnits:
         return self.made
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text, by the library itself."""
+        """Little-endian 32-bit ids of each text, by the library itself. Short texts go in groups, each its own word to the library."""
         made = self.tokenizer()
-        return [array("I", e.ids).tobytes() for e in made.encode_batch_fast(texts, add_special_tokens=False)]
+        if not texts or max(map(len, texts)) > 1000:
+            return [array("I", e.ids).tobytes() for e in made.encode_batch_fast(texts, add_special_tokens=False)]
+        out = []
+        groups = [texts[i:i + 500] for i in range(0, len(texts), 500)]
+        for group, e in zip(groups, made.encode_batch_fast(groups, is_pretokenized=True, add_special_tokens=False)):
+            raw = array("I", e.ids).tobytes()
+            ends = (4 * np.cumsum(np.bincount(np.array(e.word_ids, np.int64), minlength=len(group)))).tolist()
+            out += [raw[a:b] for a, b in zip([0, *ends], ends)]
+        return out
