@@ -24,6 +24,10 @@ def clean_number(c: Column) -> Column:
     return F.when(~F.isnan(d), d)
 
 
+def finite(c: str) -> Column:
+    return F.when(F.abs(F.col(c)) < math.inf, F.col(c))
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -36,7 +40,8 @@ def exact_quantiles(
     data = df.select([clean_number(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)])
     stats = data.agg(*[
         F.struct(
-            F.count(c).alias("n"), F.approx_count_distinct(c).alias("d"), F.min(c).alias("lo"), F.max(c).alias("hi")
+            F.count(c).alias("n"), F.approx_count_distinct(c).alias("d"), F.min(finite(c)).alias("lo"), F.max(finite(c)).alias("hi"),
+            F.count_if(F.col(c) == -math.inf).alias("below"), F.count_if(F.col(c) == math.inf).alias("above")
         ).alias(c)
         for c in data.columns
     ]).first()
@@ -57,7 +62,8 @@ def exact_quantiles(
             for p in probs:
                 spot = p * (stats[c]["n"] - 1)
                 lo, hi = found[c, math.floor(spot)], found[c, math.ceil(spot)]
-                values.append(lo + (hi - lo) * (spot - math.floor(spot)))
+                part = spot - math.floor(spot)
+                values.append(lo if lo == hi or part == 0 else (1 - part) * lo + part * hi if math.isinf(lo) or math.isinf(hi) else lo + (hi - lo) * part)
             out[c] = values
     return {name: out[f"c{i}"] for i, name in enumerate(columns)}
 
@@ -78,8 +84,14 @@ def _chunks(columns: Sequence[str], weight: dict[str, int], limit: int):
 def _select(data: DataFrame, ranks, stats, final_rows: int) -> dict[tuple[str, int], float]:
     """Order statistics by repeated histograms."""
     found: dict[tuple[str, int], float] = {}
-    # (column, lo, hi) -> (rows below lo, rows inside, wanted ranks)
-    live = {(c, stats[c]["lo"], stats[c]["hi"]): (0, stats[c]["n"], set(r)) for c, r in ranks.items()}
+    # (column, lo, hi) -> (rows below lo, rows inside, wanted ranks). Infinite values have no bins: their ranks are known.
+    live = {}
+    for c, wanted in ranks.items():
+        first, last = stats[c]["below"], stats[c]["n"] - stats[c]["above"]
+        found.update({(c, r): -math.inf for r in wanted if r < first} | {(c, r): math.inf for r in wanted if r >= last})
+        inside = {r for r in wanted if first <= r < last}
+        if inside:
+            live[c, stats[c]["lo"], stats[c]["hi"]] = (first, last - first, inside)
     while live:
         for key in [k for k in live if k[1] == k[2]]:
             found.update({(key[0], r): key[1] for r in live.pop(key)[2]})

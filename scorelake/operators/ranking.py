@@ -123,7 +123,7 @@ def running_by_value(
         order = Window.orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, 0)
         return groups.withColumns({f"cum_{n}": F.sum(n).over(order) for n in sums}), head
 
-    cut = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol="value", outputCol="bucket")
+    cut = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol="value", outputCol="bucket", handleInvalid="keep")  # NaN ranks above all numbers
     bucket_sums = cut.transform(base).groupBy("bucket").agg(*[F.sum(n).alias(n) for n in sums])
     above = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, 0)
     offsets = bucket_sums.select("bucket", *[(F.sum(n).over(above) - F.col(n)).alias(f"above_{n}") for n in sums])

@@ -81,6 +81,8 @@ def stratified_split(df: DataFrame, target: str, row_id: str, test_size: float =
 
 def stratified_kfold(df: DataFrame, target: str, row_id: str, k: int = 5, seed: int = SEED) -> DataFrame:
     """Add ``fold`` 0..k-1. Class counts of two folds differ by at most one."""
+    if k < 2:
+        raise ValueError("k must be at least 2")
     counts = class_counts(df, target)
     cuts = counts.select(
         target, "n", F.explode(F.sequence(F.lit(0), F.lit(k - 2))).alias("cut")
@@ -91,6 +93,15 @@ def stratified_kfold(df: DataFrame, target: str, row_id: str, k: int = 5, seed:
     return cut_index(df, target, row_id, cuts, seed, total_rows(counts), "fold")
 
 
+def two_classes(df: DataFrame, target: str) -> None:
+    """Balancing is for two classes: other classes and rows without a label would vanish, so they are refused."""
+    seen = class_counts(df, target).select(target).limit(4).collect()
+    if any(r[0] is None for r in seen):
+        raise ValueError(f"{target} has NULL labels; drop or fill them before balancing")
+    if len(seen) > 2:
+        raise ValueError(f"{target} has more than two classes; balancing is for two")
+
+
 def extremes(df: DataFrame, target: str):
     """(majority class, its rows, minority class, its rows); the smaller class value wins a tie."""
     big, small = F.struct((-F.col("n")).alias("m"), target), F.struct(F.col("n").alias("m"), F.col(target).alias("c"))
@@ -108,6 +119,7 @@ def random_oversample(df: DataFrame, target: str, row_id: str, seed: int = SEED,
     ``draw`` is NULL on a majority row and the draw number on a drawn one. Draws are hashes, so no
     minority row is hotter than chance makes it.
     """
+    two_classes(df, target)
     found = extremes(df, target)
     if found is None or found[0] == found[2]:
         return df.withColumn(out, F.lit(None).cast("bigint"))
@@ -163,18 +175,22 @@ def minority_neighbours(rows: DataFrame, row_id: str, features: Sequence[str], k
 def smote(df: DataFrame, target: str, row_id: str, features: Sequence[str], k: int = 5, seed: int = SEED) -> DataFrame:
     """``(target, features..., base_id, neighbour_id, u)``: synthetic minority rows that even the classes.
 
-    Each lies between a minority row and one of its k nearest minority rows.
+    Each lies between a minority row and one of its k nearest minority rows. Minority rows with a NULL feature are neither bases nor
+    neighbours; the draws spread over the complete rows, so the classes come out even. Fewer than two complete rows make none.
     """
     usable = [c for c in features if c in numeric_columns(df)]
     if len(usable) != len(features):
         raise ValueError("smote needs numeric features; use random_oversample")
+    two_classes(df, target)
     found = extremes(df, target)
     label = df.schema[target].dataType.simpleString()
-    if found is None or found[0] == found[2] or found[3] < 2:
-        return df.where(F.lit(False)).select(target, *features)
-    _, n_major, minor, n_minor = found
-    need = n_major - n_minor
-    complete = df.where(F.col(target) == minor).dropna(subset=list(features))
+    _, n_major, minor, n_minor = found or (None, 0, None, 0)
+    complete = df.where(F.col(target).eqNullSafe(F.lit(minor))).dropna(subset=list(features))
+    need, n_minor = n_major - n_minor, complete.count() if n_major > n_minor else 0
+    if n_minor < 2:
+        kind = df.schema[row_id].dataType.simpleString()
+        none = [F.lit(None).cast(kind).alias(c) for c in ("base_id", "neighbour_id")]
+        return df.where(F.lit(False)).select(target, *[F.col(f"`{c}`").cast("double").alias(c) for c in features], *none, F.lit(None).cast("double").alias("u"), F.lit(None).cast("bigint").alias("draw"))
     near = minority_neighbours(complete, row_id, features, k, n_minor)
     per_row = near.groupBy("id").agg(
         F.sort_array(F.collect_list(F.struct("dist", "other", "point"))).alias("near")
@@ -201,11 +217,14 @@ def balance_if_needed(df: DataFrame, target: str, row_id: str, ratio: float = BA
                       features: Sequence[str] | None = None) -> DataFrame:
     """Balance only when majority/minority exceeds ``ratio``: synthetic rows when all ``features`` are
     numeric, else draws with replacement."""
+    two_classes(df, target)
     found = extremes(df, target)
     if found is None or found[3] == 0 or found[1] / found[3] <= ratio:
         return df.withColumn("draw", F.lit(None).cast("bigint"))
     if features and set(features) <= set(numeric_columns(df)):
         extra = smote(df, target, row_id, features, seed=seed)
+        if extra.isEmpty():  # too few complete rows to draw between
+            return random_oversample(df, target, row_id, seed).select(target, *features, "draw")
         base = df.select(target, *features).withColumn("draw", F.lit(None).cast("bigint"))
         return base.unionByName(extra.select(target, *features, "draw"))
     return random_oversample(df, target, row_id, seed)

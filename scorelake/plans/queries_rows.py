@@ -133,7 +133,7 @@ def _(spark, sf):
 
 
 JOB_SQL = (f"coalesce(vaga_id, 'desconhecido') AS vaga_id, lower(coalesce(vaga_titulo, '')) AS vaga_titulo, "
-           f"{sql_map(chr(108) + 'ower(coalesce(vaga_area, ' + quote('') + '))', vocab.AREA_ALIASES)} AS vaga_area, "
+           f"{sql_map("lower(coalesce(vaga_area, ''))", vocab.AREA_ALIASES)} AS vaga_area, "
            f"{sql_map('lower(coalesce(vaga_senioridade, ' + quote('') + '))', vocab.SENIORITY_ALIASES)} AS vaga_senioridade")
 
 
@@ -299,7 +299,7 @@ MORE_PATTERNS = {**vocab.MENTION_PATTERNS, "menciona_artigo": r"\sune\s|the (and
 
 
 @query("regex_flags", "SELECT doc_id, " + ", ".join(
-    f"{bit(f'regexp_matches(text, {quote(p)}, {quote(chr(105))})')} AS {n}" for n, p in MORE_PATTERNS.items()) + " FROM documents")
+    f"{bit(f'regexp_matches(text, {quote(p)}, {quote('i')})')} AS {n}" for n, p in MORE_PATTERNS.items()) + " FROM documents")
 def _(spark, sf):
     flags = text.regex_flags(C("text"), C("__low"), MORE_PATTERNS)
     return text.with_lower(documents(spark, sf), "text").select("doc_id", *[c.cast("int").alias(n) for n, c in flags.items()])

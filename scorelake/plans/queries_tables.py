@@ -177,7 +177,7 @@ def _(spark, sf):
     return out.withColumn("zero_variance", C("zero_variance").cast("int"))
 
 
-@query("service_rollup", f"SELECT count(*) AS request_count, {r(chr(97) + 'vg(CAST(event_type = ' + quote('error') + ' AS INTEGER)) * 100')} AS error_rate, {r('avg(value / 1000) * 1000')} AS average_latency FROM events")
+@query("service_rollup", f"SELECT count(*) AS request_count, {r("avg(CAST(event_type = 'error' AS INTEGER)) * 100")} AS error_rate, {r('avg(value / 1000) * 1000')} AS average_latency FROM events")
 def _(spark, sf):
     return rounded(agg.service_rollup(table(spark, sf, "events"), C("event_type") == "error", C("value") / 1000))
 

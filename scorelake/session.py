@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -33,9 +34,14 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder; a local one only where none is named."""
+    """A fresh folder under the cluster's shared checkpoint folder. A local session may go without one; a cluster may not,
+    as its executors would not see each other's files."""
     root = checkpoint_root(spark)
-    return f"{root.rstrip('/')}/scorelake-{uuid.uuid4().hex}" if root else tempfile.mkdtemp(prefix="scorelake-")
+    if root is None:
+        if not spark.conf.get("spark.master", "local").split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = os.path.join(tempfile.gettempdir(), f"scorelake-{os.getpid()}")
+    return f"{root.rstrip('/')}/scorelake-{uuid.uuid4().hex}"
 
 
 def landed(df: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Size checks that decide whether a table may be broadcast.
 
-A table becomes a literal relation only after it has been measured: at most
-``max_rows`` rows and ``max_bytes`` Arrow bytes. Anything larger stays a
+A table becomes a literal relation only after Spark has measured it: at most
+``max_rows`` rows and ``max_bytes`` bytes as text. Nothing is fetched before that. Anything larger stays a
 distributed table and is joined by shuffle, where AQE splits hot keys.
 """
 
@@ -19,8 +19,12 @@ SPREAD_BYTES = 256 << 20
 
 def small_table(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame | None:
     """``df`` as a local relation when it is proven small, else None."""
+    row = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row), F.lit(0)).alias("size")).first()
+    if seen["n"] > max_rows or seen["size"] > max_bytes:
+        return None
     got = df.limit(max_rows + 1).toArrow()
-    if got.num_rows > max_rows or got.nbytes > max_bytes:
+    if got.num_rows > max_rows:  # the table may differ between two readings
         return None
     return df.sparkSession.createDataFrame(got, schema=df.schema)
 

@@ -81,11 +81,11 @@ def load_training_stats(spark, root: str) -> FeatureStats:
         spark.read.parquet(f"{root}/numeric"), spark.read.parquet(f"{root}/categorical"), row["n_samples"], row["timestamp"])
 
 
-def append_drift_report(report: DataFrame, root: str) -> None:
-    """Append the report and its history line ``(timestamp, overall_drift)``."""
-    write_table(report, f"{root}/reports", "append")
-    write_table(report.select("timestamp", F.col("drift_score").alias("overall_drift")), f"{root}/history", "append")
+def append_drift_report(report: DataFrame, root: str, mode: str = "append") -> None:
+    """Append the report and its history line ``(timestamp, overall_drift)``; a stream's batch folder is overwritten instead."""
+    write_table(report, f"{root}/reports", mode)
+    write_table(report.select("timestamp", F.col("drift_score").alias("overall_drift")), f"{root}/history", mode)
 
 
-def append_alerts(alerts: DataFrame, path: str) -> None:
-    write_table(alerts, path, "append")
+def append_alerts(alerts: DataFrame, path: str, mode: str = "append") -> None:
+    write_table(alerts, path, mode)

@@ -71,8 +71,8 @@ def stream_recent_drift(stream: DataFrame, log_path: str, training: FeatureStats
         report = report.withColumn("batch_id", F.lit(batch_id)).persist()
         try:
             if report.first() is not None:
-                append_drift_report(report, f"{report_root}/batch={batch_id}")
-                append_alerts(drift_alerts(report, alert_limit), f"{alert_path}/batch={batch_id}")
+                append_drift_report(report, f"{report_root}/batch={batch_id}", "overwrite")
+                append_alerts(drift_alerts(report, alert_limit), f"{alert_path}/batch={batch_id}", "overwrite")
         finally:
             report.unpersist()
 
