@@ -207,7 +207,7 @@ class ToxicNet:
         m = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in self.p.items()}
         # A small sample goes round more often, in smaller steps' worth of texts.
         batch = int(min(batch, max(32, len(train) // 12)))
-        epochs = max(epochs, -(-70 * batch // len(train)))
+        epochs = max(epochs, -(-120 * batch // len(train)))
         step = 0
         for epoch in range(epochs):
             if epoch:
