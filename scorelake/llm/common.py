@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from scorelake.session import landed, scratch_dir
 
-__all__ = ["table", "landed", "scratch_dir", "batches", "tokenizer_path", "read_text", "UnitCache", "LibraryUnits", "texts_of", "crc_mod", "coded_words", "gathered"]
+__all__ = ["table", "landed", "scratch_dir", "batches", "tokenizer_path", "read_text", "UnitCache", "LibraryUnits", "texts_of", "crc_mod", "coded_words", "gathered", "least_texts"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,18 @@ def texts_of(column: pa.Array) -> list[str]:
     return [t if t is not None else "" for t in column.to_pylist()]
 
 
+def least_texts(texts: DataFrame, limit: int) -> list[str]:
+    """At most ``limit`` different texts, those with the least hashes, in that order. Hashes alone are ranked, so tasks send numbers to the
+    driver; then the chosen texts are fetched."""
+    h = F.xxhash64("text")
+    chosen = texts.select(h.alias("h")).distinct().orderBy("h").limit(limit).collect()
+    if not chosen:
+        return []
+    wanted = texts.sparkSession.createDataFrame([(r["h"],) for r in chosen], "h long")
+    rows = texts.select("text", h.alias("h")).join(F.broadcast(wanted), "h").groupBy("h").agg(F.min("text").alias("text"))  # at most ``limit`` rows
+    return [r["text"] for r in sorted(rows.collect(), key=lambda r: r["h"])]
+
+
 def coded_words(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """(codes, bounds, words): lower-cased (A-Z) words between the six ASCII blanks as codes into the distinct words; text i has codes
     ``bounds[i]`` to ``bounds[i + 1]``. Null texts have none."""

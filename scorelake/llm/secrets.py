@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorelake.llm.common import batches, landed, texts_of
+from scorelake.llm.common import batches, least_texts, texts_of
 
 #: Fixed patterns of the base rules.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -267,10 +267,7 @@ def sample_texts(docs: DataFrame, limit: int = FIT_DOCS, max_bytes: int = 20_000
     that assigns. The bound is the one limit here; scanning reads every whole text."""
     short = docs.select("text").where(F.octet_length("text").between(1, max_bytes))
     hinted = short.where(F.lower("text").rlike("akia|(password|secret|token|key)[\"']? *[:=]"))
-    rows = []
-    for part in (hinted, short):
-        rows += part.distinct().orderBy(F.xxhash64("text"), "text").limit(limit // 2).collect()
-    return [r["text"] for r in rows]
+    return [t for part in (hinted, short) for t in least_texts(part, limit // 2)]
 
 
 def fit(docs: DataFrame, text_col: str = "text", limit: int = FIT_DOCS) -> SecretField:
