@@ -174,7 +174,7 @@ class ToxicNet:
         np.add.at(g["char"], lex.piece, back[lex.owner])
         return g
 
-    def fit(self, texts: list[str], labels: np.ndarray, weight: np.ndarray, epochs: int = 5, batch: int = 200, rate: float = 0.02) -> ToxicNet:
+    def fit(self, texts: list[str], labels: np.ndarray, weight: np.ndarray, epochs: int = 6, batch: int = 48, rate: float = 0.02) -> ToxicNet:
         """Train on the highest window of each text; a fifth of the texts calibrates the maximum. ``weight`` restores the shares of the classes."""
         if not len(texts) or len(set(labels.tolist())) < 2:
             self.scale = np.array([0.0, 3.0 if len(texts) and labels.all() else -3.0])
@@ -206,7 +206,7 @@ class ToxicNet:
         even = np.where(labels == 1, 0.5 / max(1, labels[train].sum()), 0.5 / max(1, (1 - labels[train]).sum())) * len(train)
         m = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in self.p.items()}
         # A small sample goes round more often, in smaller steps' worth of texts.
-        batch = int(min(batch, max(32, len(train) // 12)))
+        batch = int(min(batch, max(16, len(train) // 12)))
         epochs = max(epochs, -(-120 * batch // len(train)))
         step = 0
         for epoch in range(epochs):
