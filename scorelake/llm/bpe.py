@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorelake.llm.common import UnitCache, batches, read_text, texts_of
+from scorelake.llm.common import Shipped, UnitCache, batches, read_text, texts_of
 
 CHUNK_BYTES = 16 << 20
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
@@ -203,7 +203,7 @@ def bpe(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col:
     A null text is empty: no ids, an empty decoded text. Every row gives a row, repeated and null ids included; other
     columns are ignored.
     """
-    box = docs.sparkSession.sparkContext.broadcast(PairIndexBPE(read_text(tokenizer_file)))
+    box = Shipped(docs.sparkSession, PairIndexBPE(read_text(tokenizer_file)))
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * with_ids
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

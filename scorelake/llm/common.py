@@ -7,12 +7,34 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorelake.session import landed, scratch_dir
 
-__all__ = ["table", "landed", "scratch_dir", "batches", "tokenizer_path", "read_text", "UnitCache", "LibraryUnits", "texts_of", "crc_mod", "coded_words", "gathered", "least_texts"]
+__all__ = ["Shipped", "table", "landed", "scratch_dir", "batches", "tokenizer_path", "read_text", "UnitCache", "LibraryUnits", "texts_of", "crc_mod", "coded_words", "gathered", "least_texts"]
+
+
+class Shipped:
+    """A value broadcast with its classes, so executors need no copy of this package (a plain broadcast names classes by module).
+    Each Python worker unpacks it once and keeps it for its next tasks."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.own = value
+        self.held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def __getstate__(self):
+        return {"held": self.held}
+
+    @property
+    def value(self):
+        if "own" in self.__dict__:
+            return self.own
+        kept = self.held.__dict__  # the worker's own broadcast object, which outlives the task
+        if "unpacked" not in kept:
+            kept["unpacked"] = cloudpickle.loads(self.held.value)
+        return kept["unpacked"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scorelake.llm.common import batches
+from scorelake.llm.common import Shipped, batches
 
 FIT_ROWS, POOL_ROWS = 5000, 3000
 ROUNDS, HANDED = 4, 300
@@ -182,7 +182,7 @@ def view_columns(docs: DataFrame, text_col: str = "text") -> list[F.Column]:
 
 def _scored(docs: DataFrame, model: QualityModel) -> DataFrame:
     """``docs`` with ``__text_odds``, ``__page_odds`` and ``__quality``."""
-    box = docs.sparkSession.sparkContext.broadcast(model)
+    box = Shipped(docs.sparkSession, model)
     extra = ["__text_odds", "__page_odds", "__quality"]
     schema = T.StructType([*docs.schema.fields, *[T.StructField(n, T.DoubleType()) for n in extra]])
     names, place = schema.names, {c: i for i, c in enumerate(docs.columns)}

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scorelake.llm.common import batches, texts_of
+from scorelake.llm.common import Shipped, batches, texts_of
 
 WINDOW = 13
 SHARD_BYTES = 8 << 20
@@ -208,7 +208,7 @@ def match_items(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", i
     out = docs
     for b in range(blocks):
         rows = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
-        out = _match_block(out, spark.sparkContext.broadcast(TestSuffixes([(r["item"], r["text"]) for r in rows.collect()], window)), text_col, b == 0)
+        out = _match_block(out, Shipped(spark, TestSuffixes([(r["item"], r["text"]) for r in rows.collect()], window)), text_col, b == 0)
     return out
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorelake.llm.common import batches, least_texts, texts_of
+from scorelake.llm.common import Shipped, batches, least_texts, texts_of
 
 #: Fixed patterns of the base rules.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -283,7 +283,7 @@ def scan(docs: DataFrame, field: SecretField, id_col: str = "doc_id", text_col:
 
     Null texts are empty and hold nothing; every row gives a row; other columns are ignored.
     """
-    model = docs.sparkSession.sparkContext.broadcast(field)
+    model = Shipped(docs.sparkSession, field)
     names = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,7 +300,7 @@ def scan(docs: DataFrame, field: SecretField, id_col: str = "doc_id", text_col:
 
 def redact(docs: DataFrame, field: SecretField, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with each found span replaced by ``mark``; overlapping spans become one mark, null texts stay null, other columns stay."""
-    model = docs.sparkSession.sparkContext.broadcast(field)
+    model = Shipped(docs.sparkSession, field)
     at = docs.columns.index(text_col)
 
     def clean(text: str, spans: list[tuple[int, int, int]]) -> str:

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scorelake.llm.common import LibraryUnits, batches, gathered, read_text
+from scorelake.llm.common import Shipped, LibraryUnits, batches, gathered, read_text
 
 BLOCK_IDS = 1 << 16
 CHUNK_BYTES = 8 << 20
@@ -109,7 +109,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
     from tokenizers import Tokenizer
 
     bits = bits_for(max(Tokenizer.from_str(spec).get_vocab_size(), end_id + 1))
-    box = spark.sparkContext.broadcast(LibraryUnits(spec))
+    box = Shipped(spark, LibraryUnits(spec))
     end = np.uint32(end_id)
     names = [c.split()[0] for c in BLOCKS.split(", ")]
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorelake.llm.common import batches, crc_mod, texts_of
+from scorelake.llm.common import Shipped, batches, crc_mod, texts_of
 
 WINDOW, STRIDE = 48, 32
 HIDDEN = 8
@@ -302,7 +302,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = FIT_TOXIC, clean_r
 
 def score(docs: DataFrame, model: ToxicNet, threshold: float = THRESHOLD) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted. Null texts are empty; every row gives a row; only the text is read."""
-    box = docs.sparkSession.sparkContext.broadcast(model)
+    box = Shipped(docs.sparkSession, model)
     names = ["doc_id", "held_out", "score", "predicted"]
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
