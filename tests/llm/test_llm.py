@@ -1,7 +1,10 @@
 """Operators of the pipeline against plain versions, on small rows with nulls, empty and long texts, ties, repeats and odd columns."""
 
 import hashlib
+import os
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 from math import log10
@@ -15,6 +18,7 @@ from scorelake.llm import bpe, cotrain, decontaminate, lm, nearest, queries, sec
 from scorelake.llm.common import tokenizer_path
 
 SF = "/root/testdata/sf0.001"
+ROOT = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
 ODD = ["", " ", "a  b", "foo \n bar", "x<|endoftext|>y <|startoftext|>", "É ÀB ΟΔΟΣ don't WE'LL", "\n\n x\ty ", "\x1c a\x1f b", "日本語 12345 🙂", "a.\nb,\n\nc. d.\ne ###.", "w" * 5000, "lang " * 3000]
 
 
@@ -303,12 +307,16 @@ def test_lm_base_scores_and_windows(docs, rows):
     assert all(np.isfinite(r["score"]) and r["score"] < 0 for r in got)
     held = [(r["score"], r["base_score"], r["n_tokens"]) for r in got if r["held_out"]]
     assert sum(h[0] for h in held) > sum(h[1] for h in held) - 0.05 * sum(h[2] for h in held)
+    big = docs.sparkSession.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
+    held = lm.score(big, tokenizer_path("word_bpe_49k.json")).where("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert held[0] > held[1] + 0.1 * held[2]  # the context is worth a tenth of a decade a token at least
     assert lm.score(empty(docs), tokenizer_path("word_bpe_49k.json")).count() == 0
 
 
 def test_lm_scores_each_id_once():
     rng = np.random.default_rng(1)
-    model = lm.AttentionLM(rng.integers(1, 50, 60), 59)
+    counts = rng.integers(1, 50, 60)
+    model = lm.AttentionLM(counts, 59, counts)
     ids, bounds = rng.integers(0, 59, 200), np.array([0, 1, 30, 130, 200])
     got = model.log_probs(ids, bounds)
     for a, b in zip(bounds, bounds[1:]):
@@ -320,6 +328,20 @@ def test_lm_scores_each_id_once():
             assert abs(model.windows(context)[0, i - begin, model.cls[ids[i]]] + model.inside[ids[i]] - got[i]) < 1e-3
 
 
+def test_tasks_need_no_copy_of_the_package(tmp_path):
+    code = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {str(tmp_path / "shared")!r}).getOrCreate()
+from scorelake.llm import queries
+print("rows", [queries.QUERIES[q](spark, {SF!r}).count() for q in ("op3_token_output", "op4_decontaminate", "op6_bpe")])
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows [200, 200, 200]" in out.stdout, out.stderr[-2000:]
+
+
 def held_out_auc(score, label):
     order = np.argsort(score, kind="stable")
     rank = np.empty(len(score))
