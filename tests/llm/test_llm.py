@@ -393,3 +393,15 @@ def test_registered():
 
     assert set(queries.QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+def test_words_cut_together_equal_words_cut_alone():
+    from scorelake.llm.common import read_text
+
+    words = ["abc", "abc.", "...", "a.b,%%", "<|startoftext|>", "x<|startoftext|>y", "x<", "1İx", "Éa", "straße***", "ßσς", "日本", "é", "\x1c", "don't", "it's.", "Σας", "\x7f", "a\x85b", "1234", "'"]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        box = lm.SubwordBox(read_text(tokenizer_path(name)))
+        for word, ids in zip(words, box.words([w.encode() for w in words])):
+            core = word.rstrip(lm.MARKS) or word
+            parts = [" " + core] + ([word[len(core):]] if len(core) < len(word) else [])
+            assert ids == b"".join(box.ids(parts)), word
