@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelake.llm import bpe, cotrain, decontaminate, lm, nearest, secrets, simhash, substring_dedup, token_output, toxicity
+from scorelake.llm import bpe, cotrain, decontaminate, lm, nearest, prefix_trie, secrets, simhash, substring_dedup, token_output, toxicity
 from scorelake.llm.common import scratch_dir, table, tokenizer_path
 
 
@@ -57,7 +57,50 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def crc32_sql(expr: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of ``expr`` as decimal text: the reflected polynomial, bit by bit."""
+    step = "list_reduce([xor(acc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))"
+    return (f"xor(list_reduce(list_transform(split(CAST({expr} AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT)), "
+            f"lambda acc, b: {step}, CAST(4294967295 AS BIGINT)), 4294967295)")
+
+
+#: Nodes as lists of turns, subtrees by list prefixes: a plain statement of the contract, quadratic in the nodes.
+OP11_SQL = f"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn ASC NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT c, c - c % 20 AS b, {crc32_sql('c')} % 4 AS h FROM (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL)),
+pre AS (SELECT i.c, t.pos, t.role, t.text FROM ids i JOIN t ON t.c = i.b AND t.pos < i.h),
+taken AS (SELECT c, count(*) AS m FROM pre GROUP BY c),
+own AS (SELECT i.c, coalesce(taken.m, 0) + t.pos - i.h AS pos, t.role, t.text
+        FROM ids i JOIN t ON t.c = i.c AND t.pos >= i.h LEFT JOIN taken ON taken.c = i.c),
+r AS (SELECT * FROM pre UNION ALL SELECT * FROM own),
+seqs AS (SELECT i.c, coalesce(list({{'role': r.role, 'text': r.text}} ORDER BY r.pos) FILTER (WHERE r.pos IS NOT NULL), []) AS turns
+         FROM ids i LEFT JOIN r ON r.c = i.c GROUP BY i.c),
+mem AS (SELECT c, d, list_slice(turns, 1, d) AS p, len(turns) AS n FROM (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS d FROM seqs)),
+node AS (SELECT p, min(c) AS conv_id, min(d) AS depth, count(*) AS n_convs,
+                sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE d = n), '')) AS ends_sha256
+         FROM mem GROUP BY p),
+nd AS (SELECT *, CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(p[depth].text, '[^\\x20\\x09-\\x0D]+')) END AS words,
+              CASE WHEN depth = 0 THEN NULL ELSE list_slice(p, 1, depth - 1) END AS pp FROM node),
+kids AS (SELECT pp, count(*) AS k FROM nd WHERE pp IS NOT NULL GROUP BY pp),
+nk AS (SELECT nd.*, coalesce(kids.k, 0) AS n_children FROM nd LEFT JOIN kids ON kids.pp = nd.p),
+sub AS (SELECT v.p, sum(CASE WHEN u.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((u.n_convs - 1) * u.words) AS saved_tokens
+        FROM nk v JOIN nk u ON u.depth >= v.depth AND list_slice(u.p, 1, v.depth) = v.p GROUP BY v.p)
+SELECT nk.conv_id, CAST(nk.depth AS BIGINT) AS depth, par.conv_id AS parent_conv_id, CAST(nk.n_convs AS BIGINT) AS n_convs,
+       CAST(nk.n_children AS BIGINT) AS n_children, CAST(sub.n_leaves AS BIGINT) AS n_leaves, CAST(sub.saved_tokens AS BIGINT) AS saved_tokens,
+       nk.ends_sha256
+FROM nk JOIN sub ON sub.p = nk.p LEFT JOIN nk par ON par.p = nk.pp
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_lm_scoring, op2_substring_dedup, op3_token_output, op4_decontaminate, op5_toxicity, op6_bpe, op7_nearest, op8_secrets, op9_quality, op10_simhash)}
-ORACLES: dict[str, str] = {}
+        op1_lm_scoring, op2_substring_dedup, op3_token_output, op4_decontaminate, op5_toxicity, op6_bpe, op7_nearest, op8_secrets, op9_quality, op10_simhash,
+        op11_prefix_trie)}
+ORACLES: dict[str, str] = {"op11_prefix_trie": OP11_SQL}
