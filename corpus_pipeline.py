@@ -30,7 +30,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, and digests of the ids and of the decoded text."""
-    return bpe.bpe(docs, tokenizer_path("word_bpe_49k.json"), with_ids=True).drop("decoded")
+    return bpe.bpe(docs, tokenizer_path("word_bpe_49k.json"), with_ids=True, with_decoded=False)
 
 
 STAGES = [

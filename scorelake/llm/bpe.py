@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from scorelake.llm.common import Shipped, UnitCache, batches, read_text, texts_of
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 4 << 20
+MEMO_BYTES = 48 << 20  # keys and values of the piece memo, per Python worker
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 
 
@@ -81,7 +82,7 @@ class PairIndexBPE:
         self.pieces = regex.compile(PIECES)
         self.blank = regex.compile(r"\p{White_Space}+")
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.cache = UnitCache(300_000)
+        self.cache = UnitCache(300_000, MEMO_BYTES, lambda key, value: 2 * len(key) + len(value[0]) + 2 * len(value[1]) + 200)
         return self
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -197,18 +198,21 @@ class PairIndexBPE:
         return " ".join([self.tokens[i] for i in ids])
 
 
-def bpe(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """Encode and decode every whole text: doc_id, n_tokens, ids_sha256, decoded_sha256 (with ``with_ids`` also ids and decoded).
+def bpe(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False,
+        with_decoded: bool | None = None) -> DataFrame:
+    """Encode and decode every whole text: doc_id, n_tokens, ids_sha256, decoded_sha256; with ``with_ids`` also ``ids``, and with
+    ``with_decoded`` (by default as ``with_ids``) also ``decoded``.
 
     A null text is empty: no ids, an empty decoded text. Every row gives a row, repeated and null ids included; other
-    columns are ignored.
+    columns are ignored, so clashing names do not matter. Ids of a chunk are built as one buffer with offsets.
     """
+    with_decoded = with_ids if with_decoded is None else with_decoded
     box = Shipped(docs.sparkSession, PairIndexBPE(read_text(tokenizer_file)))
-    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * with_ids
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids + ["decoded"] * with_decoded
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches(source, "text", CHUNK_BYTES):
-            n, a, b, ids, decoded = [], [], [], [], []
+            n, a, b, flats, decoded = [], [], [], [], []
             for row in box.value.encode(texts_of(part["text"])):
                 flat = b"".join([x[0] for x in row])
                 text = " ".join([x[1] for x in row if x[0]])
@@ -216,11 +220,18 @@ def bpe(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col:
                 a.append(hashlib.sha256(flat).hexdigest())
                 b.append(hashlib.sha256(text.encode()).hexdigest())
                 if with_ids:
-                    ids.append(np.frombuffer(flat, "<u4").tolist())
+                    flats.append(flat)
+                if with_decoded:
                     decoded.append(text)
             cols = [part["id"].combine_chunks(), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
-            cols += [pa.array(ids, pa.list_(pa.int64())), pa.array(decoded, pa.string())] * with_ids
+            if with_ids:
+                values = np.frombuffer(b"".join(flats), "<u4").astype(np.int64)
+                offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                cols.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
+                del flats, values
+            if with_decoded:
+                cols.append(pa.array(decoded, pa.string()))
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>, decoded string" * with_ids
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>" * with_ids + ", decoded string" * with_decoded
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)

@@ -128,8 +128,9 @@ class UnitCache:
     dropped. Memory is bounded; a dropped piece is only computed again.
     """
 
-    def __init__(self, limit: int = 400_000, text_limit: int = 24 << 20):
+    def __init__(self, limit: int = 400_000, text_limit: int = 24 << 20, weigh: Callable | None = None):
         self.limit, self.text_limit = limit, text_limit
+        self.weigh = weigh or (lambda key, value: len(key))  # bytes a generation counts for an entry
         self.young: dict = {}
         self.old: dict = {}
         self.size = 0
@@ -143,8 +144,9 @@ class UnitCache:
         for u in again:
             self.young[u] = self.old.pop(u)
         fresh = list(need - again)
-        self.young.update(zip(fresh, compute(fresh)))
-        self.size += sum(map(len, need))
+        made = compute(fresh)
+        self.young.update(zip(fresh, made))
+        self.size += sum(self.weigh(u, self.young[u]) for u in again) + sum(map(self.weigh, fresh, made))
         return self.young
 
 
