@@ -145,7 +145,8 @@ class QualityModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, pool_rows: int = POOL_ROWS) -> QualityModel:
-    """Fit on the documents whose labelled ids have the least hashes, and a pool of others. Ids with two labels or none are not used."""
+    """Fit on the documents whose labelled ids have the least hashes, and a pool of others. Ids with two labels or none are not used;
+    an id on several document rows is fitted on its least row."""
     spark = docs.sparkSession
     ids = F.col("doc_id").cast("long")
     known = labels.select(ids.alias("id"), F.col("quality").cast("int").alias("y")).where("id IS NOT NULL AND y IN (0, 1)")
@@ -164,7 +165,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, pool_rows:
             b = [page_view((t or "").encode(), s, c).tolist() for t, s, c in rows]
             yield pa.RecordBatch.from_arrays([part["id"].combine_chunks(), part["y"].combine_chunks(), pa.array(a, pa.binary()), pa.array(b, pa.list_(pa.int32()))], ["id", "y", "grams", "cells"])
 
-    got = picked.dropDuplicates(["id"]).mapInArrow(run, "id long, y int, grams binary, cells array<int>").toArrow().sort_by("id")
+    # An id on several rows: its least (text, source, lang) stands for it, so the fit does not depend on partitioning.
+    least = F.min(F.struct(F.coalesce("text", F.lit("")).alias("t"), "text", "source", "lang", "y"))
+    picked = picked.groupBy("id").agg(least.alias("m")).select("id", "m.text", "m.source", "m.lang", "m.y")
+    got = picked.mapInArrow(run, "id long, y int, grams binary, cells array<int>").toArrow().sort_by("id")
     text = np.zeros((got.num_rows, TEXT_SIZE), np.float32)
     page = np.zeros((got.num_rows, sum(GROUPS)), np.float32)
     for i, (g, c) in enumerate(zip(got["grams"].to_pylist(), got["cells"].to_pylist())):

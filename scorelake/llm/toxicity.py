@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from scorelake.llm.common import Shipped, batches, crc_mod, texts_of
 
 WINDOW, STRIDE = 48, 32
-HIDDEN = 8
+HIDDEN = 16
 WORD_ROWS, WORD_DIMS = 16384, 8
 CHAR_ROWS, CHAR_DIMS = 16384, 12
 FIT_TOXIC, FIT_CLEAN = 1500, 2000
@@ -34,7 +34,7 @@ class Lexicon:
     """Distinct words of a chunk, their hashed word row and the rows of their character pieces."""
 
     def __init__(self, docs: list[list[bytes]]):
-        seen = {w: i for i, w in enumerate(set().union(*docs))}
+        seen = {w: i for i, w in enumerate(sorted(set().union(*docs)))}  # sorted: the same numbering under every hash seed
         self.ids = [np.fromiter(map(seen.__getitem__, d), np.int32, len(d)) for d in docs]
         raw = [b" " + w + b" " for w in seen] or [b"  "]
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
@@ -284,14 +284,16 @@ def held_out() -> F.Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = FIT_TOXIC, clean_rows: int = FIT_CLEAN) -> ToxicNet:
-    """Fit on at most so many labelled rows of each class (least hashes of the id), never on held-out ids. Ids with two labels are not used."""
+    """Fit on at most so many labelled rows of each class (least hashes of the id), never on held-out ids. Ids with two labels are not used;
+    an id on several document rows is fitted on its least text."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")).where("doc_id IS NOT NULL AND y IN (0, 1)").where(~held_out())
     known = known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("most")).where("y = most").select("doc_id", "y")
     total = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     rows = [r for y, n in ((1, toxic_rows), (0, clean_rows)) for r in known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).collect()]
     sample = docs.sparkSession.createDataFrame([(r["doc_id"], r["y"]) for r in rows], "id long, y int")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "id")  # at most toxic_rows + clean_rows rows
-    got = texts.dropDuplicates(["id"]).select("id", "text", "y").toArrow().sort_by("id")
+    # An id on several rows: the least text stands for it, so the fit does not depend on partitioning.
+    got = texts.groupBy("id").agg(F.min("text").alias("text"), F.first("y").alias("y")).toArrow().sort_by("id")
     y = got["y"].to_numpy().astype(np.float64)
     n = np.bincount(y.astype(int), minlength=2)
     weight = np.where(y == 1, total.get(1, 0) / max(1, n[1]), total.get(0, 0) / max(1, n[0]))
