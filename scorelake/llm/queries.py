@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelake.llm import bpe, cotrain, decontaminate, lm, nearest, prefix_trie, secrets, simhash, substring_dedup, token_output, toxicity
+from scorelake.llm import bpe, cotrain, decontaminate, lm, nearest, prefix_trie, resample, secrets, simhash, substring_dedup, token_output, toxicity
 from scorelake.llm.common import scratch_dir, table, tokenizer_path
 
 
@@ -61,11 +61,21 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
-def crc32_sql(expr: str) -> str:
-    """DuckDB SQL for the unsigned crc32 of ``expr`` as decimal text: the reflected polynomial, bit by bit."""
+def crc32_of_bytes_sql(byte_list: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of a list of byte values: the reflected polynomial, bit by bit."""
     step = "list_reduce([xor(acc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))"
-    return (f"xor(list_reduce(list_transform(split(CAST({expr} AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT)), "
-            f"lambda acc, b: {step}, CAST(4294967295 AS BIGINT)), 4294967295)")
+    return f"xor(list_reduce({byte_list}, lambda acc, b: {step}, CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+def crc32_sql(expr: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of ``expr`` as decimal text (ASCII only)."""
+    return crc32_of_bytes_sql(f"list_transform(split(CAST({expr} AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))")
+
+
+def utf8_bytes_sql(expr: str) -> str:
+    """DuckDB SQL for the UTF-8 bytes of a text as a list of numbers."""
+    return (f"list_transform(range(0, octet_length(encode({expr}))), "
+            f"lambda i: CAST('0x' || substr(hex(encode({expr})), 2 * i + 1, 2) AS BIGINT))")
 
 
 #: Nodes as lists of turns, subtrees by list prefixes: a plain statement of the contract, quadratic in the nodes.
@@ -99,8 +109,40 @@ FROM nk JOIN sub ON sub.p = nk.p LEFT JOIN nk par ON par.p = nk.pp
 """
 
 
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_WORDS13 = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+#: Words by the regular expression, crc32 of their UTF-8 bytes bit by bit, gains and ranks as the contract states them.
+OP13_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS13} AS w FROM documents),
+occ AS (SELECT rid, unnest(w) AS word FROM d),
+bw AS (SELECT unnest({_WORDS13}) AS word FROM benchmark),
+dist AS (SELECT DISTINCT word FROM (SELECT word FROM occ UNION ALL SELECT word FROM bw)),
+crc AS (SELECT word, {crc32_of_bytes_sql(utf8_bytes_sql('word'))} % 10000 AS bucket FROM dist),
+s AS (SELECT bucket, count(*) AS n FROM occ JOIN crc USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM bw JOIN crc USING (word) GROUP BY bucket),
+tot AS (SELECT CAST((SELECT count(*) FROM occ) AS DOUBLE) AS s_all, CAST((SELECT count(*) FROM bw) AS DOUBLE) AS t_all),
+g AS (SELECT b.bucket, floor(1000.0 * ln((coalesce(t.n, 0) + 1.0) * (tot.s_all + 10000) / ((coalesce(s.n, 0) + 1.0) * (tot.t_all + 10000)))) AS gain
+      FROM (SELECT DISTINCT bucket FROM crc) b CROSS JOIN tot LEFT JOIN s ON s.bucket = b.bucket LEFT JOIN t ON t.bucket = b.bucket),
+per AS (SELECT occ.rid, sum(g.gain) AS total FROM occ JOIN crc USING (word) JOIN g USING (bucket) GROUP BY occ.rid),
+w AS (SELECT d.rid, d.doc_id, len(d.w) AS n_features,
+             CAST(CASE WHEN len(d.w) = 0 THEN 0 ELSE floor(per.total / len(d.w)) END AS BIGINT) AS weight
+      FROM d LEFT JOIN per ON per.rid = d.rid),
+sc AS (SELECT *, weight + CAST(floor(-1000.0 * ln(-ln((CAST(('0x' || substr(sha256('2024:' || CAST(doc_id AS VARCHAR)), 1, 8)) AS UBIGINT) + 0.5)
+                                                     / 4294967296.0))) AS BIGINT) AS score FROM w),
+el AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id, n_features, weight) AS r FROM sc WHERE n_features >= 20 AND doc_id IS NOT NULL),
+k AS (SELECT count(*) * 10 // 100 AS draw FROM el)
+SELECT sc.doc_id, CAST(sc.n_features AS BIGINT) AS n_features, sc.weight, sc.score,
+       CAST(CASE WHEN el.r <= k.draw THEN el.r END AS BIGINT) AS rank
+FROM sc LEFT JOIN el ON el.rid = sc.rid CROSS JOIN k
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_lm_scoring, op2_substring_dedup, op3_token_output, op4_decontaminate, op5_toxicity, op6_bpe, op7_nearest, op8_secrets, op9_quality, op10_simhash,
-        op11_prefix_trie)}
-ORACLES: dict[str, str] = {"op11_prefix_trie": OP11_SQL}
+        op11_prefix_trie, op13_resample)}
+ORACLES: dict[str, str] = {"op11_prefix_trie": OP11_SQL, "op13_resample": OP13_SQL}
