@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelake.llm import bpe, cotrain, decontaminate, lm, nearest, prefix_trie, resample, secrets, simhash, substring_dedup, token_output, toxicity
+from scorelake.llm import bpe, cotrain, decontaminate, embed_dedup, lm, nearest, prefix_trie, resample, secrets, simhash, substring_dedup, token_output, toxicity
 from scorelake.llm.common import scratch_dir, table, tokenizer_path
 
 
@@ -109,6 +109,29 @@ FROM nk JOIN sub ON sub.p = nk.p LEFT JOIN nk par ON par.p = nk.pp
 """
 
 
+def op12_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+#: All pairs by exact cosine and components by a recursive walk: the plain statement, quadratic in the rows.
+OP12_SQL = """
+WITH RECURSIVE e0 AS (SELECT row_number() OVER () AS rid, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+ok AS (SELECT rid, vec_id, list_transform(v, lambda x: coalesce(x, 0.0)) AS v FROM e0
+       WHERE vec_id IS NOT NULL AND v IS NOT NULL AND len(v) > 0
+         AND list_bool_and(list_transform(v, lambda x: x IS NOT NULL AND isfinite(x)))
+         AND list_bool_or(list_transform(v, lambda x: x <> 0))),
+pairs AS (SELECT a.rid AS a, b.rid AS b FROM ok a JOIN ok b ON a.rid <> b.rid
+          WHERE list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.95),
+reach(src, dst) AS (SELECT rid, rid FROM ok UNION SELECT reach.src, pairs.b FROM reach JOIN pairs ON pairs.a = reach.dst),
+comp AS (SELECT reach.src AS rid, min(ok.vec_id) AS component_id FROM reach JOIN ok ON ok.rid = reach.dst GROUP BY reach.src),
+links AS (SELECT a AS rid, count(*) AS n FROM pairs GROUP BY a)
+SELECT e0.vec_id, CAST(coalesce(links.n, 0) AS BIGINT) AS n_links,
+       CAST(CASE WHEN ok.rid IS NULL THEN e0.vec_id ELSE comp.component_id END AS BIGINT) AS component_id,
+       e0.vec_id = CASE WHEN ok.rid IS NULL THEN e0.vec_id ELSE comp.component_id END AS kept
+FROM e0 LEFT JOIN ok ON ok.rid = e0.rid LEFT JOIN comp ON comp.rid = e0.rid LEFT JOIN links ON links.rid = e0.rid
+"""
+
+
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -144,5 +167,5 @@ FROM sc LEFT JOIN el ON el.rid = sc.rid CROSS JOIN k
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_lm_scoring, op2_substring_dedup, op3_token_output, op4_decontaminate, op5_toxicity, op6_bpe, op7_nearest, op8_secrets, op9_quality, op10_simhash,
-        op11_prefix_trie, op13_resample)}
-ORACLES: dict[str, str] = {"op11_prefix_trie": OP11_SQL, "op13_resample": OP13_SQL}
+        op11_prefix_trie, op12_embed_dedup, op13_resample)}
+ORACLES: dict[str, str] = {"op11_prefix_trie": OP11_SQL, "op12_embed_dedup": OP12_SQL, "op13_resample": OP13_SQL}
