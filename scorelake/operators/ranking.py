@@ -2,7 +2,7 @@
 
 ``hash_cuts`` finds the rows that hold given ranks inside each class by counting hash buckets and
 ranking only the buckets where a cut falls. ``number_rows`` gives every row its rank from bucket
-offsets. ``running_by_value`` gives running sums in value order from range buckets. None of them
+offsets. ``running_by_value`` gives running sums in value order from range partitions and their offsets. None of them
 puts a class, or the table, into one task.
 """
 
@@ -11,14 +11,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scorelake.session import landed
 from scorelake.sizing import join_lookup
 
 BUCKET_ROWS = 1_000_000
-MAX_BUCKETS = 4096
 HEX_TABLE_ROWS = 70_000
 
 
@@ -102,8 +101,10 @@ def running_by_value(
 ) -> tuple[DataFrame, dict[str, int]]:
     """One row per distinct value with each sum and its running total ``cum_*`` from the highest down.
 
-    Returns the table and the grand totals. Value ranges are cut at row quantiles, so a bucket holds
-    at most about ``bucket_rows`` distinct values however the scores pile up.
+    Returns the table and the grand totals. Distinct values are range-partitioned in descending order (NaN ranks above
+    every number, as Spark orders it; infinities are ordinary values) into about one partition per ``bucket_rows`` rows;
+    the partitioned table is landed so that its partition numbers stay fixed, each partition's sums make one small row,
+    and a partition's offset is the sum of the partitions before it. There is no bucket limit and no split list.
     """
     base = df.select(F.col(value).cast("double").alias("value"), *[c.alias(n) for n, c in sums.items()]).where(
         F.col("value").isNotNull()
@@ -112,22 +113,13 @@ def running_by_value(
         F.count(F.lit(1)).alias("__rows"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in sums]
     ).first().asDict()
     rows = head.pop("__rows")
-    parts = min(MAX_BUCKETS, math.ceil(rows / bucket_rows))
-    splits: list[float] = []
-    if parts > 1:
-        probs = [i / parts for i in range(1, parts)]
-        marks = base.agg(F.percentile_approx("value", probs, 10 * parts)).first()[0]
-        splits = sorted(set(marks))
+    parts = max(1, math.ceil(rows / max(1, bucket_rows)))
     groups = base.groupBy("value").agg(*[F.sum(n).alias(n) for n in sums])
-    if not splits:
-        order = Window.orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, 0)
-        return groups.withColumns({f"cum_{n}": F.sum(n).over(order) for n in sums}), head
-
-    cut = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol="value", outputCol="bucket", handleInvalid="keep")  # NaN ranks above all numbers
-    bucket_sums = cut.transform(base).groupBy("bucket").agg(*[F.sum(n).alias(n) for n in sums])
-    above = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, 0)
-    offsets = bucket_sums.select("bucket", *[(F.sum(n).over(above) - F.col(n)).alias(f"above_{n}") for n in sums])
-    placed = join_lookup(cut.transform(groups), offsets, "bucket", "inner")
-    order = Window.partitionBy("bucket").orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, 0)
+    ranged = landed(groups.repartitionByRange(parts, F.desc("value")).withColumn("__part", F.spark_partition_id()))
+    part_sums = ranged.groupBy("__part").agg(*[F.sum(n).alias(n) for n in sums])
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)  # one row per partition
+    offsets = part_sums.select("__part", *[(F.sum(n).over(before) - F.col(n)).alias(f"above_{n}") for n in sums])
+    placed = join_lookup(ranged, offsets, "__part", "inner")
+    order = Window.partitionBy("__part").orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, 0)
     totals = {f"cum_{n}": F.sum(n).over(order) + F.col(f"above_{n}") for n in sums}
-    return placed.withColumns(totals).drop("bucket", *[f"above_{n}" for n in sums]), head
+    return placed.withColumns(totals).drop("__part", *[f"above_{n}" for n in sums]), head
