@@ -1,8 +1,5 @@
-"""Exact linear-interpolated quantiles at any size.
-
-Columns proven to have few distinct values use the built-in ``percentile``. Wider ones are selected by
-repeated histograms: each pass keeps only the bin that holds a wanted rank, so no task ever gathers a
-column.
+"""Exact linear-interpolated quantiles at any size, on one path: a sketch brackets each wanted rank, running counts over
+range partitions select the value inside the bracket. No task gathers a column and only the answers reach the driver.
 """
 
 from __future__ import annotations
@@ -10,12 +7,16 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DISTINCT_LIMIT = 500_000
-BINS = 1024
-FINAL_ROWS = 100_000
+from scorelake.session import landed
+from scorelake.sizing import join_lookup
+
+#: Sketch accuracy: its rank error is at most rows / ACCURACY, so a bracket holds about 6 rows in ACCURACY.
+ACCURACY = 10_000
+#: Distinct bracket values that one range partition holds.
+BUCKET_ROWS = 1_000_000
 
 
 def clean_number(c: Column) -> Column:
@@ -32,114 +33,94 @@ def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
-    distinct_limit: int = DISTINCT_LIMIT,
-    final_rows: int = FINAL_ROWS,
+    accuracy: int = ACCURACY,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> dict[str, list[float | None]]:
+    """Linear-interpolated quantiles of each column (NaN and NULL left out; infinities are values), exact at every size.
+
+    One path in two passes over the data, plus one small aggregate:
+
+    1. one aggregate gives each column's count and, from a mergeable quantile sketch (``percentile_approx``, rank
+       error at most ``n / accuracy``), a bracket of values around every wanted rank;
+    2. one aggregate counts the rows below and up to each bracket; a bracket that does not hold its rank (which the
+       sketch's bound rules out) becomes the whole column, so the answer never depends on the sketch being right;
+    3. the rows inside the brackets, as (bracket, value, count), are range-partitioned; sums per partition give
+       offsets, running sums inside a partition find the value at each rank. Only those values reach the driver.
+    """
     if not columns:
         return {}
     data = df.select([clean_number(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)])
-    stats = data.agg(*[
-        F.struct(
-            F.count(c).alias("n"), F.approx_count_distinct(c).alias("d"), F.min(finite(c)).alias("lo"), F.max(finite(c)).alias("hi"),
-            F.count_if(F.col(c) == -math.inf).alias("below"), F.count_if(F.col(c) == math.inf).alias("above")
-        ).alias(c)
-        for c in data.columns
-    ]).first()
+    margin = 3.0 / accuracy
+    edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)})
+    head = data.agg(*[F.struct(F.count(c).alias("n"), F.percentile_approx(c, edges, accuracy).alias("at")).alias(c) for c in data.columns]).first()
+    brackets = []  # (column, rank, lo, hi)
+    for c in data.columns:
+        n, at = head[c]["n"], head[c]["at"]
+        if not n:
+            continue
+        value_at = dict(zip(edges, at))
+        for p in probs:
+            spot = p * (n - 1)
+            for r in sorted({math.floor(spot), math.ceil(spot)}):
+                q = r / max(1, n - 1)
+                lo = value_at[min(1.0, max(0.0, _near(edges, q - margin, "lo")))]
+                hi = value_at[min(1.0, max(0.0, _near(edges, q + margin, "hi")))]
+                brackets.append((c, r, lo, hi))
+    brackets = list(dict.fromkeys(brackets))
+    found = _select_in_brackets(data, brackets, {c: head[c]["n"] for c in data.columns}, bucket_rows)
     out: dict[str, list[float | None]] = {}
-    narrow = [c for c in data.columns if stats[c]["d"] <= distinct_limit]
-    wide = [c for c in data.columns if c not in narrow]
-    for chunk in _chunks(narrow, {c: stats[c]["d"] for c in narrow}, 4 * distinct_limit):
-        row = data.agg(*[F.percentile(c, list(probs)).alias(c) for c in chunk]).first()
-        out.update({c: list(row[c]) if row[c] else [None] * len(probs) for c in chunk})
-    if wide:
-        ranks = {}
-        for c in wide:
-            spots = [p * (stats[c]["n"] - 1) for p in probs]
-            ranks[c] = {r for s in spots for r in (math.floor(s), math.ceil(s))}
-        found = _select(data, ranks, stats, final_rows)
-        for c in wide:
-            values = []
-            for p in probs:
-                spot = p * (stats[c]["n"] - 1)
-                lo, hi = found[c, math.floor(spot)], found[c, math.ceil(spot)]
-                part = spot - math.floor(spot)
-                values.append(lo if lo == hi or part == 0 else (1 - part) * lo + part * hi if math.isinf(lo) or math.isinf(hi) else lo + (hi - lo) * part)
-            out[c] = values
+    for c in data.columns:
+        n = head[c]["n"]
+        if not n:
+            out[c] = [None] * len(probs)
+            continue
+        values = []
+        for p in probs:
+            spot = p * (n - 1)
+            lo, hi = found[c, math.floor(spot)], found[c, math.ceil(spot)]
+            part = spot - math.floor(spot)
+            values.append(lo if lo == hi or part == 0 else (1 - part) * lo + part * hi if math.isinf(lo) or math.isinf(hi) else lo + (hi - lo) * part)
+        out[c] = values
     return {name: out[f"c{i}"] for i, name in enumerate(columns)}
 
 
-def _chunks(columns: Sequence[str], weight: dict[str, int], limit: int):
-    batch: list[str] = []
-    total = 0
-    for c in columns:
-        if batch and (total + weight[c] > limit or len(batch) >= 100):
-            yield batch
-            batch, total = [], 0
-        batch.append(c)
-        total += weight[c]
-    if batch:
-        yield batch
-
-
-def _select(data: DataFrame, ranks, stats, final_rows: int) -> dict[tuple[str, int], float]:
-    """Order statistics by repeated histograms."""
-    found: dict[tuple[str, int], float] = {}
-    # (column, lo, hi) -> (rows below lo, rows inside, wanted ranks). Infinite values have no bins: their ranks are known.
-    live = {}
-    for c, wanted in ranks.items():
-        first, last = stats[c]["below"], stats[c]["n"] - stats[c]["above"]
-        found.update({(c, r): -math.inf for r in wanted if r < first} | {(c, r): math.inf for r in wanted if r >= last})
-        inside = {r for r in wanted if first <= r < last}
-        if inside:
-            live[c, stats[c]["lo"], stats[c]["hi"]] = (first, last - first, inside)
-    while live:
-        for key in [k for k in live if k[1] == k[2]]:
-            found.update({(key[0], r): key[1] for r in live.pop(key)[2]})
-        small = {k: v for k, v in live.items() if v[1] <= final_rows}
-        if small:
-            _finish(data, small, found)
-            live = {k: v for k, v in live.items() if k not in small}
-        if not live:
-            break
-        keys = list(live)
-        slots = []
-        for i, (c, lo, hi) in enumerate(keys):
-            v = F.col(c)
-            step = F.least(F.lit(BINS - 1), F.floor((v / 2 - lo / 2) / (hi / 2 - lo / 2) * BINS).cast("int"))
-            slots.append(F.when(v.between(lo, hi), F.struct(F.lit(i).alias("i"), step.alias("bin"), v.alias("v"))))
-        bins = (
-            data.select(F.explode(F.array_compact(F.array(*slots))).alias("s")).select("s.*")
-            .groupBy("i", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-            .orderBy("i", "bin").collect()
-        )
-        nxt = {}
-        below = {i: live[k][0] for i, k in enumerate(keys)}
-        for b in bins:
-            start = below[b["i"]]
-            inside = {r for r in live[keys[b["i"]]][2] if start <= r < start + b["n"]}
-            if inside:
-                nxt[keys[b["i"]][0], b["lo"], b["hi"]] = (start, b["n"], inside)
-            below[b["i"]] = start + b["n"]
-        live = nxt
-    return found
-
-
-def _finish(data: DataFrame, small, found) -> None:
-    """Read the intervals that are proven to hold few rows."""
-    keys = list(small)
-    slots = [
-        F.when(F.col(c).between(lo, hi), F.struct(F.lit(i).alias("i"), F.col(c).alias("v")))
-        for i, (c, lo, hi) in enumerate(keys)
+def _near(edges: list[float], q: float, side: str) -> float:
+    """The sketch probability nearest to ``q`` on the safe side (below for a lower bracket end, above for an upper one)."""
+    if side == "lo":
+        below = [e for e in edges if e <= q + 1e-12]
+        return below[-1] if below else edges[0]
+    above = [e for e in edges if e >= q - 1e-12]
+    return above[0] if above else edges[-1]
+
+
+def _select_in_brackets(data: DataFrame, brackets, counts: dict[str, int], bucket_rows: int) -> dict[tuple[str, int], float]:
+    """Value at each (column, rank) of ``brackets``: checked brackets, then running counts over range partitions."""
+    if not brackets:
+        return {}
+    checks = [
+        F.struct(F.count_if(F.col(c) < F.lit(lo)).alias("below"), F.count_if(F.col(c) <= F.lit(hi)).alias("upto")).alias(f"b{i}")
+        for i, (c, r, lo, hi) in enumerate(brackets)
     ]
-    rows = (
-        data.select(F.explode(F.array_compact(F.array(*slots))).alias("s")).select("s.*")
-        .groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")).orderBy("i", "v").collect()
+    got = data.agg(*checks).first()
+    keys = []  # (column, rank, lo, hi, below, rows inside)
+    for i, (c, r, lo, hi) in enumerate(brackets):
+        below, upto = got[f"b{i}"]["below"], got[f"b{i}"]["upto"]
+        if not below <= r < upto:  # not held: the whole column is the bracket
+            lo, hi, below, upto = -math.inf, math.inf, 0, counts[c]
+        keys.append((c, r, lo, hi, below, upto - below))
+    slots = [F.when(F.col(c).between(lo, hi), F.struct(F.lit(i).alias("k"), F.col(c).alias("v"))) for i, (c, r, lo, hi, _, _) in enumerate(keys)]
+    inside = data.select(F.explode(F.array_compact(F.array(*slots))).alias("s")).select("s.*").groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    parts = max(1, math.ceil(sum(k[5] for k in keys) / max(1, bucket_rows)))
+    ranged = landed(inside.repartitionByRange(parts, "k", "v").withColumn("__part", F.spark_partition_id()))
+    per_part = ranged.groupBy("__part", "k").agg(F.sum("n").alias("m"))  # at most partitions x brackets rows
+    earlier = Window.partitionBy("k").orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)
+    offsets = per_part.select("__part", "k", (F.sum("m").over(earlier) - F.col("m")).alias("before"))
+    need = F.create_map(*[x for i, key in enumerate(keys) for x in (F.lit(i), F.lit(key[1] - key[4] + 1))])
+    upto = F.sum("n").over(Window.partitionBy("__part", "k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)) + F.col("before")
+    hits = (
+        join_lookup(ranged, offsets, ["__part", "k"], "inner")
+        .select("k", "v", "n", upto.alias("upto"))
+        .where((F.col("upto") - F.col("n") < need[F.col("k")]) & (need[F.col("k")] <= F.col("upto")))
+        .select("k", "v").collect()  # one row per bracket
     )
-    below = {i: small[k][0] for i, k in enumerate(keys)}
-    for row in rows:
-        key = keys[row["i"]]
-        start = below[row["i"]]
-        for r in small[key][2]:
-            if start <= r < start + row["n"]:
-                found[key[0], r] = row["v"]
-        below[row["i"]] = start + row["n"]
+    return {(keys[h["k"]][0], keys[h["k"]][1]): h["v"] for h in hits}

@@ -53,3 +53,19 @@ def test_auc_the_same_at_every_partition_size(spark):
     one = evaluate.roc_auc(df, "y", "s").first()[0]
     assert evaluate.roc_auc(df, "y", "s", bucket_rows=1).first()[0] == pytest.approx(one)
     assert evaluate.average_precision(df, "y", "s", bucket_rows=3).first()[0] == pytest.approx(evaluate.average_precision(df, "y", "s").first()[0])
+
+
+def test_quantile_bracket_not_held_falls_back_to_the_whole_column(spark, monkeypatch):
+    """A sketch that answers wrongly only costs work: brackets that miss their rank become the whole column."""
+    import numpy as np
+
+    from scorelake.operators import quantiles
+
+    real = F.percentile_approx
+    monkeypatch.setattr(F, "percentile_approx", lambda c, p, a: F.array(*[F.lit(0.0) for _ in p]))
+    values = [float(x) for x in np.random.default_rng(2).normal(size=500)] + [math.inf, -math.inf, math.nan]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = quantiles.exact_quantiles(df, ["x"], [0.1, 0.5, 0.99], bucket_rows=3)["x"]
+    monkeypatch.setattr(F, "percentile_approx", real)
+    clean = np.array([v for v in values if not math.isnan(v)])
+    assert got == pytest.approx(list(np.quantile(clean, [0.1, 0.5, 0.99])))

@@ -38,14 +38,14 @@ def test_auc_of_few_rows(spark):
     assert evaluate.roc_auc(same, "y", "s").first()[0] == 0.5
 
 
-@pytest.mark.parametrize("limit, final", [(10**6, 10), (5, 10), (5, 10**6)])
-def test_quantiles(spark, limit, final):
+@pytest.mark.parametrize("accuracy, rows", [(10_000, 10), (20, 1), (10_000, 10**6), (3, 7)])
+def test_quantiles(spark, accuracy, rows):
     rng = np.random.default_rng(3)
     a = np.concatenate([rng.lognormal(0, 4, 3000), np.full(1500, 2.5), [1e300, -1e300]])
     b = rng.integers(0, 4, len(a)).astype(float)
     df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double").union(
         spark.createDataFrame([(None, float("nan"))], "a double, b double"))
-    got = quantiles.exact_quantiles(df, ["a", "b"], [0.0, 0.25, 0.5, 0.9, 1.0], distinct_limit=limit, final_rows=final)
+    got = quantiles.exact_quantiles(df, ["a", "b"], [0.0, 0.25, 0.5, 0.9, 1.0], accuracy=accuracy, bucket_rows=rows)
     for name, data in (("a", a), ("b", b)):
         want = np.quantile(data, [0.0, 0.25, 0.5, 0.9, 1.0])
         assert np.allclose(got[name], want, rtol=1e-9)
