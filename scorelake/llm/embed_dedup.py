@@ -13,8 +13,9 @@ Plan:
 * A pair is a candidate in a bucket where one of them lives and the other lives or visits. Each bucket's candidates are
   verified by exact cosine on the original vectors in doubles; a verified pair counts once, in the first table and bucket
   where it meets (every vector carries its home and probe buckets of all tables, so this is decided locally).
-* Buckets send per-vector link counts and a spanning forest of their verified links; components come from rounds of
-  star joins (the library's own helper) and reach back to every row.
+* Rows are partitioned and sorted by bucket; a task verifies many small buckets at once as arrays of pairs, and cuts a
+  large bucket into blocks. It sends per-vector link counts and, per row, the least id linked to it there; components
+  come from rounds of star joins (the library's own helper) and reach back to every row.
 
 Defined cases: null, zero, NaN or infinite vectors (or null components) link with nothing: n_links 0, their own id as
 component, kept. A row with a null vec_id takes no part either: n_links 0, null component, null kept. Repeated rows (same id) are separate rows
@@ -26,7 +27,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -110,41 +110,65 @@ def _meets(home_a, probe_a, home_b, probe_b) -> np.ndarray:
     return (home_a == home_b) | (home_a[..., None] == probe_b).any(-1) | (home_b[..., None] == probe_a).any(-1)
 
 
-def _bucket_links(box: Shipped, threshold: float):
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
-        table, code = int(key[0]), int(key[1])
-        ids = frame["id"].to_numpy()
-        lives = frame["lives"].to_numpy()
-        vec = np.stack(frame["unit"].to_numpy())
-        homes = np.stack(frame["homes"].to_numpy())
-        probes = np.stack(frame["probes"].to_numpy()).reshape(len(ids), homes.shape[1], -1)
-        copies = frame["m"].to_numpy()
-        count = np.zeros(len(ids), np.int64)
-        label = np.arange(len(ids))
-        found_a, found_b = [], []
+def _pairs_of_buckets(bounds: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs (i < j) of rows inside each bucket ``[bounds[k], bounds[k + 1])``, in pieces of about ``limit`` pairs.
+    A bucket larger than ``BLOCK`` rows is cut into blocks, so no piece holds more than ``BLOCK`` x ``BLOCK`` pairs."""
+    sizes = np.diff(bounds)
+    small = np.flatnonzero((sizes > 1) & (sizes <= BLOCK))
+    pairs = sizes[small] * (sizes[small] - 1) // 2
+    start = 0
+    while start < len(small):
+        stop = start + max(1, int(np.searchsorted(np.cumsum(pairs[start:]), limit, side="right")))
+        rows = np.concatenate([np.arange(bounds[k], bounds[k + 1]) for k in small[start:stop]])
+        ends = np.repeat(bounds[small[start:stop] + 1], sizes[small[start:stop]])
+        count = ends - rows - 1
+        a = np.repeat(rows, count)
+        first = np.cumsum(count) - count
+        b = a + 1 + (np.arange(len(a)) - np.repeat(first, count))
+        yield a, b
+        start = stop
+    for k in np.flatnonzero(sizes > BLOCK):
+        lo, hi = int(bounds[k]), int(bounds[k + 1])
+        for s in range(lo, hi, BLOCK):
+            for r in range(s, hi, BLOCK):
+                a, b = np.meshgrid(np.arange(s, min(s + BLOCK, hi)), np.arange(r, min(r + BLOCK, hi)), indexing="ij")
+                keep = a < b
+                yield a[keep], b[keep]
+
+
+def _bucket_links(box: Shipped, threshold: float, tables: int, probes: int):
+    """Rows sorted by (table, bucket) in, (id, links, root) out: verified links counted where a pair first meets, and each
+    row's least linked id in its part. A bucket cut by a batch border waits for the next batch."""
 
-        for s in range(0, len(ids), BLOCK):
-            for r in range(s, len(ids), BLOCK):
-                cos = vec[s:s + BLOCK] @ vec[r:r + BLOCK].T
-                a, b = np.nonzero(cos >= threshold)
-                a, b = a + s, b + r
-                keep = (ids[a] < ids[b]) & (lives[a] | lives[b])
-                a, b = a[keep], b[keep]
-                if not len(a):
-                    continue
-                found_a.append(a)
-                found_b.append(b)
-                # Counted where the pair first meets: no earlier table, and in this table no smaller bucket.
-                meet = _meets(homes[a], probes[a], homes[b], probes[b])
-                first = ~meet[:, :table].any(1)
-                both = np.stack([homes[a, table], homes[b, table]], 1)
-                seen_b = (both[:, :, None] == probes[b, table][:, None, :]).any(-1) | (both == homes[b, table][:, None])
-                seen_a = (both[:, :, None] == probes[a, table][:, None, :]).any(-1) | (both == homes[a, table][:, None])
-                # Buckets where the pair meets in this table are homes of one of them that the other lives in or visits.
-                where = np.where(np.stack([seen_b[:, 0], seen_a[:, 1]], 1), both, np.iinfo(np.int64).max)
-                first &= where.min(1) == code
-                np.add.at(count, a[first], copies[b[first]])
-                np.add.at(count, b[first], copies[a[first]])
+    def verify(t, code, ids, lives, copies, unit, homes, probe):
+        n = len(ids)
+        count = np.zeros(n, np.int64)
+        label = np.arange(n)
+        bounds = np.concatenate([[0], np.flatnonzero((t[1:] != t[:-1]) | (code[1:] != code[:-1])) + 1, [n]])
+        found_a, found_b = [], []
+        for a, b in _pairs_of_buckets(bounds, 1 << 20):
+            cos = np.einsum("ij,ij->i", unit[a], unit[b])
+            keep = (cos >= threshold) & (lives[a] | lives[b])
+            a, b = a[keep], b[keep]
+            if not len(a):
+                continue
+            found_a.append(a)
+            found_b.append(b)
+            table, here = t[a], code[a]
+            rows = np.arange(len(a))
+            # Counted where the pair first meets: no earlier table, and in this table no smaller bucket.
+            meet = _meets(homes[a], probe[a], homes[b], probe[b])
+            first = ~np.where(np.arange(tables)[None, :] < table[:, None], meet, False).any(1)
+            ha, hb = homes[a, table], homes[b, table]
+            pa_, pb_ = probe[a, table], probe[b, table]
+            at_a = (ha == hb) | (pb_ == ha[:, None]).any(1)  # the pair meets in a's home bucket
+            at_b = (ha == hb) | (pa_ == hb[:, None]).any(1)  # ... in b's home bucket
+            big = np.iinfo(np.int64).max
+            least = np.minimum(np.where(at_a, ha, big), np.where(at_b, hb, big))
+            first &= least == here
+            np.add.at(count, a[first], copies[b[first]])
+            np.add.at(count, b[first], copies[a[first]])
+            del rows
         if found_a:
             a, b = np.concatenate(found_a), np.concatenate(found_b)
             while True:  # least label over verified links, spread until nothing changes
@@ -156,14 +180,39 @@ def _bucket_links(box: Shipped, threshold: float):
                 if (new == label).all():
                     break
                 label = new
-        least = np.full(len(ids), np.iinfo(np.int64).max)
+        least = np.full(n, np.iinfo(np.int64).max)
         np.minimum.at(least, label, ids)
-        out = pd.DataFrame({"id": ids, "links": count, "root": least[label]})
-        return out[(out["links"] > 0) | (out["root"] != out["id"])]
+        root = least[label]
+        out = (count > 0) | (root != ids)
+        return pa.RecordBatch.from_arrays([pa.array(ids[out]), pa.array(count[out]), pa.array(root[out])], ["id", "links", "root"])
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in source:
+            if not batch.num_rows:
+                continue
+            data = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            data = data.combine_chunks()
+            t, code = data["t"].to_numpy(), data["code"].to_numpy()
+            last = np.flatnonzero((t == t[-1]) & (code == code[-1]))[0]
+            ready, held = data.slice(0, last), data.slice(last)
+            if ready.num_rows:
+                yield _verify_table(ready, verify, tables, probes)
+        if held is not None and held.num_rows:
+            yield _verify_table(held, verify, tables, probes)
 
     return run
 
 
+def _verify_table(data: pa.Table, verify, tables: int, probes: int) -> pa.RecordBatch:
+    n = data.num_rows
+    unit = data["unit"].combine_chunks().flatten().to_numpy().reshape(n, -1)
+    homes = data["homes"].combine_chunks().flatten().to_numpy().reshape(n, tables)
+    probe = data["probes"].combine_chunks().flatten().to_numpy().reshape(n, tables, probes)
+    return verify(data["t"].to_numpy(), data["code"].to_numpy(), data["id"].to_numpy(), data["lives"].to_numpy(zero_copy_only=False),
+                  data["m"].to_numpy(), unit, homes, probe)
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = THRESHOLD,
                     tables: int = TABLES, probes: int = PROBES, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per row: vec_id, n_links (other vectors linked directly), component_id (least vec_id reachable), kept."""
@@ -204,8 +253,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     placed = lives.unionByName(visits)
     # Buckets without a home row hold no candidate pair.
     homed = placed.groupBy("t", "code").agg(F.max(F.col("lives").cast("int")).alias("h")).where("h = 1").select("t", "code")
-    linked = placed.join(homed, ["t", "code"], "left_semi").groupBy("t", "code").applyInPandas(
-        _bucket_links(box, threshold), "id long, links long, root long")
+    sorted_rows = placed.join(homed, ["t", "code"], "left_semi").repartition("t", "code").sortWithinPartitions("t", "code")
+    linked = sorted_rows.select("t", "code", "lives", "id", "m", "unit", "homes", "probes").mapInArrow(
+        _bucket_links(box, threshold, tables, probes), "id long, links long, root long")
     linked = landed(linked)
     counts = linked.groupBy("id").agg(F.sum("links").alias("links"))
     edges = linked.where("root != id").select(F.col("id").alias("a"), F.col("root").alias("b"))
