@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,9 +12,13 @@ from pyspark.sql import functions as F
 from scorelake.functions import vocab
 from scorelake.operators.drift import recent
 from scorelake.operators.joins import compare_metrics
+from scorelake.session import landed
+from scorelake.sizing import join_lookup
 from scorelake.worker import chain_chunks, decide_requests, summarise_chunks
 
 CHUNK_ROWS = 20_000_000
+#: History entries that one range partition of ``metric_drops`` holds.
+ROWS_PER_PART = 1_000_000
 ALL_TIME = 10_000_000_000
 
 
@@ -54,13 +59,26 @@ def drift_alerts(reports: DataFrame, limit: float = vocab.DRIFT_ALERT_LIMIT) ->
     })
 
 
-def metric_drops(history: DataFrame, metric: str = "accuracy", by: Sequence[str] = ()) -> DataFrame:
-    """Previous minus current value for every consecutive pair of entries; a missing value counts as 1."""
+def metric_drops(history: DataFrame, metric: str = "accuracy", by: Sequence[str] = (), rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """Previous minus current value for every consecutive pair of entries; a missing value counts as 1.
+
+    Entries are range-partitioned by (``by``, time) and landed, so partition numbers stay fixed. Inside a partition the
+    previous entry is the one before; the first entry of a partition takes the last entry of the nearest earlier
+    partition of its key (one small row per partition and key). No window holds a whole key or the whole history.
+    """
     entries = history.groupBy(*by, "timestamp").agg(
         F.max(F.when(F.col("metric") == metric, F.col("value"))).alias("found")
-    ).withColumn("value", F.coalesce("found", F.lit(vocab.DEFAULT_BASE_METRIC)))
-    order = Window.partitionBy(*by).orderBy("timestamp")
-    pairs = entries.withColumn("previous", F.lag("value").over(order)).where(F.col("previous").isNotNull())
+    ).withColumn("value", F.coalesce("found", F.lit(vocab.DEFAULT_BASE_METRIC))).drop("found")
+    parts = max(1, -(-entries.count() // max(1, rows_per_part)))
+    ranged = landed(entries.repartitionByRange(parts, *by, "timestamp").withColumn("__part", F.spark_partition_id()))
+    lasts = ranged.groupBy("__part", *by).agg(F.max_by("value", "timestamp").alias("__last"))
+    carried = lasts.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(by)], F.col("__part").alias("__p"),
+                           F.lag("__last").over(Window.partitionBy(*by).orderBy("__part")).alias("__carry"))
+    same = lambda left, right: functools.reduce(
+        lambda a, b: a & b, [left[c].eqNullSafe(right[f"__k{i}"]) for i, c in enumerate(by)], left["__part"] == right["__p"])
+    joined = join_lookup(ranged, carried, same, "inner").drop("__p", *[f"__k{i}" for i in range(len(by))])
+    before = F.lag("value").over(Window.partitionBy("__part", *by).orderBy("timestamp"))
+    pairs = joined.withColumn("previous", F.coalesce(before, F.col("__carry"))).where(F.col("previous").isNotNull())
     return pairs.select(*by, "timestamp", "previous", F.col("value").alias("current"),
                         (F.col("previous") - F.col("value")).alias("drop"))
 

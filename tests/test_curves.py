@@ -69,3 +69,31 @@ def test_quantile_bracket_not_held_falls_back_to_the_whole_column(spark, monkeyp
     monkeypatch.setattr(F, "percentile_approx", real)
     clean = np.array([v for v in values if not math.isnan(v)])
     assert got == pytest.approx(list(np.quantile(clean, [0.1, 0.5, 0.99])))
+
+
+@pytest.mark.parametrize("rows", [1, 3, 10**6])
+def test_metric_drops_carry_across_partitions(spark, rows):
+    """Previous entries found across range partitions equal a plain pass in time order, per key and over all."""
+    import datetime as dt
+
+    from scorelake.operators import monitor
+
+    rng = random.Random(4)
+    start = dt.datetime(2024, 1, 1)
+    data = []
+    for i in range(60):
+        ts = start + dt.timedelta(hours=rng.randint(0, 40))
+        data.append((ts, rng.choice(["accuracy", "f1"]), rng.random(), rng.choice(["a", "b", None])))
+    df = spark.createDataFrame(data, "timestamp timestamp, metric string, value double, model string")
+    for by in ((), ("model",)):
+        got = [tuple(r) for r in monitor.metric_drops(df, "accuracy", by, rows_per_part=rows).collect()]
+        want = []
+        keys = {tuple(d[3] for _ in by) for d in data}
+        for key in keys:
+            mine = [d for d in data if tuple(d[3] for _ in by) == key]
+            stamps = sorted({d[0] for d in mine})
+            values = [max([d[2] for d in mine if d[0] == ts and d[1] == "accuracy"], default=None) for ts in stamps]
+            values = [1.0 if v is None else v for v in values]
+            for k in range(1, len(stamps)):
+                want.append((*key, stamps[k], values[k - 1], values[k], values[k - 1] - values[k]))
+        assert sorted(got, key=str) == sorted(want, key=str)
