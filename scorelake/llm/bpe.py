@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from scorelake.llm.common import Shipped, UnitCache, batches, read_text, texts_of
 
-CHUNK_BYTES = 4 << 20
-MEMO_BYTES = 48 << 20  # keys and values of the piece memo, per Python worker
+CHUNK_BYTES = 1 << 20
+MEMO_BYTES = 16 << 20  # keys and values of the piece memo, per Python worker
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 
 
@@ -231,6 +231,7 @@ def bpe(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col:
                 del flats, values
             if with_decoded:
                 cols.append(pa.array(decoded, pa.string()))
+            del n, a, b, decoded
             yield pa.RecordBatch.from_arrays(cols, names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>" * with_ids + ", decoded string" * with_decoded
