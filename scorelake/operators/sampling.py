@@ -135,41 +135,89 @@ def random_oversample(df: DataFrame, target: str, row_id: str, seed: int = SEED,
 
 
 def minority_neighbours(rows: DataFrame, row_id: str, features: Sequence[str], k: int, n_rows: int,
-                        block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``(id, other, dist, point)``: exact k nearest neighbours of every row.
-
-    Rows fall into hash blocks of bounded size. Each pair of blocks is one task that keeps k rows per
-    row, and the per-block winners are merged per row, so neither a block nor a row's candidates grow
-    with the table.
+                        block_rows: int = BLOCK_ROWS, seed: int = SEED) -> DataFrame:
+    """``(id, other, dist, point)``: exact k nearest neighbours of every row (squared distance; ties by id).
+
+    Pivot (Voronoi) cells: about ``n_rows / block_rows`` pivots drawn by least hash of the id, every row in the cell
+    of its nearest pivot. Round one finds each row's k nearest in its own cell. Round two visits only the cells whose
+    lower bound on the distance, ``max(d(x, p) - radius, (d(x, p) - d(x, own pivot)) / 2)``, is within the k-th distance
+    found so far; the winners of both rounds are merged per row. No task compares all rows, and the pivots and radii that
+    reach the driver number ``n_rows / block_rows``.
     """
-    blocks = max(1, math.ceil(n_rows / block_rows))
-    block = F.pmod(F.xxhash64(row_id), F.lit(blocks))
+    return _pivot_rounds(rows, row_id, features, k, n_rows, block_rows, seed)[0]
+
+
+def _pivot_rounds(rows: DataFrame, row_id: str, features: Sequence[str], k: int, n_rows: int, block_rows: int, seed: int):
+    """(neighbours, requests): the result and the (row, cell) visits of round two, which tests count."""
     vec = F.array(*[F.col(f"`{c}`").cast("double") for c in features])
-    base = rows.select(F.col(row_id).alias("id"), vec.alias("point"), block.alias("block"))
-    every = F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")
-    asks = base.select("id", "point", F.col("block").alias("mine"), F.explode(every).alias("other"))
-    # Fresh names: both sides of a cogroup come from one table.
-    pool = base.select(
-        F.col("id").alias("pool_id"), F.col("point").alias("pool_point"), F.explode(every).alias("pool_mine"),
-        F.col("block").alias("pool_other"))
+    base = rows.select(F.col(row_id).alias("id"), vec.alias("point"))
     id_type = rows.schema[row_id].dataType.simpleString()
+    names = ["id", "other", "dist", "point"]
+    schema = f"id {id_type}, other {id_type}, dist double, point array<double>"
+    cells = max(1, math.ceil(n_rows / block_rows))
+    drawn = base.select("point", row_hash(F.col("id"), seed).alias("h")).orderBy("h").limit(4 * cells).collect()  # 4 x cells rows
+    pivots = []
+    for r in drawn:
+        if r["point"] not in pivots:
+            pivots.append(r["point"])
+        if len(pivots) == cells:
+            break
+    pivot = np.array(pivots if pivots else [[0.0] * len(features)], dtype=np.float64)
+
+    def distances(points: np.ndarray) -> np.ndarray:
+        return np.sqrt(((points[:, None, :] - pivot[None, :, :]) ** 2).sum(-1))
+
+    def assign(frame_iter):
+        for frame in frame_iter:
+            pts = np.stack(frame["point"].to_numpy()) if len(frame) else np.zeros((0, len(features)))
+            d = distances(pts) if len(frame) else np.zeros((0, len(pivot)))
+            own = d.argmin(1) if len(frame) else np.zeros(0, np.int64)
+            yield frame.assign(cell=own.astype(np.int64), r=d[np.arange(len(frame)), own] if len(frame) else np.zeros(0))
+
+    placed = base.mapInPandas(assign, f"id {id_type}, point array<double>, cell long, r double")
+    radius = np.zeros(len(pivot))
+    for row in placed.groupBy("cell").agg(F.max("r").alias("r")).collect():  # one row per cell
+        radius[row["cell"]] = row["r"]
+
+    def own_cell(frame: pd.DataFrame) -> pd.DataFrame:
+        found = nearest(frame["id"].to_numpy(), np.stack(frame["point"].to_numpy()), frame["id"].to_numpy(), np.stack(frame["point"].to_numpy()), k)
+        return pd.DataFrame(found, columns=names)
+
+    first = placed.groupBy("cell").applyInPandas(own_cell, schema)
+    if len(pivot) == 1:
+        return first, None
+    reach = first.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("kth"))
+    asked = placed.join(reach, "id", "left").select("id", "point", "cell", F.when(F.col("n") >= k, F.col("kth")).alias("kth"))
+
+    def requests(frame_iter):
+        for frame in frame_iter:
+            if not len(frame):
+                continue
+            pts = np.stack(frame["point"].to_numpy())
+            d = distances(pts)
+            own = frame["cell"].to_numpy()
+            mine = d[np.arange(len(frame)), own]
+            bound = np.maximum(d - radius[None, :], (d - mine[:, None]) / 2)
+            limit = np.sqrt(frame["kth"].fillna(np.inf).to_numpy())
+            visit = (bound <= limit[:, None] * (1 + 1e-9) + 1e-12)
+            visit[np.arange(len(frame)), own] = False
+            q, c = np.nonzero(visit)
+            yield pd.DataFrame({"id": frame["id"].to_numpy()[q], "point": frame["point"].to_numpy()[q], "cell": c.astype(np.int64)})
+
+    visits = asked.mapInPandas(requests, f"id {id_type}, point array<double>, cell long")
+    pool = placed.select(F.col("id").alias("pool_id"), F.col("point").alias("pool_point"), F.col("cell").alias("pool_cell"))
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        names = ["id", "other", "dist", "point"]
         if left.empty or right.empty:
             return pd.DataFrame(columns=names)
-        found = nearest(
-            left["id"].to_numpy(), np.stack(left["point"].to_numpy()),
-            right["pool_id"].to_numpy(), np.stack(right["pool_point"].to_numpy()), k,
-        )
+        found = nearest(left["id"].to_numpy(), np.stack(left["point"].to_numpy()),
+                        right["pool_id"].to_numpy(), np.stack(right["pool_point"].to_numpy()), k)
         return pd.DataFrame(found, columns=names)
 
-    schema = f"id {id_type}, other {id_type}, dist double, point array<double>"
-    near = asks.groupBy("mine", "other").cogroup(pool.groupBy("pool_mine", "pool_other")).applyInPandas(meet, schema)
-    if blocks == 1:
-        return near
+    second = visits.groupBy("cell").cogroup(pool.groupBy("pool_cell")).applyInPandas(meet, schema)
     order = Window.partitionBy("id").orderBy("dist", "other")
-    return near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("place")
+    both = first.unionByName(second).withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("place")
+    return both, visits
 
 
 def smote(df: DataFrame, target: str, row_id: str, features: Sequence[str], k: int = 5, seed: int = SEED) -> DataFrame:

@@ -97,3 +97,28 @@ def test_metric_drops_carry_across_partitions(spark, rows):
             for k in range(1, len(stamps)):
                 want.append((*key, stamps[k], values[k - 1], values[k], values[k - 1] - values[k]))
         assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_pivot_neighbours_equal_brute_force_and_visit_less(spark):
+    """Exact k nearest with ties and repeated points; round two visits well under half of all pairs."""
+    import numpy as np
+
+    from scorelake.operators import sampling
+
+    rng = np.random.default_rng(8)
+    centers = rng.normal(scale=10, size=(12, 4))
+    pts = np.concatenate([c + rng.normal(size=(100, 4)) for c in centers])
+    pts[5] = pts[6] = pts[7]  # repeated rows
+    pts[20:24] = np.round(pts[20:24])  # ties on a grid
+    n, k = len(pts), 5
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)], "id long, a double, b double, c double, d double")
+    got, visits = sampling._pivot_rounds(df, "id", ["a", "b", "c", "d"], k, n, 100, 7)
+    by = {}
+    for r in got.collect():
+        by.setdefault(r["id"], []).append((r["dist"], r["other"]))
+    for i in range(n):
+        gap = ((pts - pts[i]) ** 2).sum(1)
+        order = sorted((gap[j], j) for j in range(n) if j != i)[:k]
+        assert [j for _, j in sorted(by[i])] == [j for _, j in order]
+    sizes = {r["cell"]: r["n"] for r in visits.groupBy("cell").count().withColumnRenamed("count", "n").collect()}
+    assert sum(sizes.values()) < n * 12 / 2  # rows asked of other cells, against asking every cell
