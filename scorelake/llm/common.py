@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from scorelake.session import landed, scratch_dir
 
-__all__ = ["Shipped", "table", "landed", "scratch_dir", "batches", "tokenizer_path", "read_text", "UnitCache", "LibraryUnits", "texts_of", "crc_mod", "coded_words", "gathered", "least_texts"]
+__all__ = ["shielded", "Shipped", "table", "landed", "scratch_dir", "batches", "tokenizer_path", "read_text", "UnitCache", "LibraryUnits", "texts_of", "crc_mod", "coded_words", "gathered", "least_texts"]
 
 
 class Shipped:
@@ -37,6 +37,23 @@ class Shipped:
         return kept["unpacked"]
 
 
+def shielded(df: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with every column whose name starts with ``__`` (the prefix of this package's helper columns, in any case)
+    renamed to a free name, and a function that gives those columns their names back."""
+    taken = {c.lower() for c in df.columns}
+    moved = {}
+    for c in df.columns:
+        if c.startswith("__"):
+            i = 0
+            while f"user{i}{c}".lower() in taken:
+                i += 1
+            moved[c] = f"user{i}{c}"
+            taken.add(moved[c].lower())
+    if not moved:
+        return df, lambda out: out
+    return df.withColumnsRenamed(moved), lambda out: out.withColumnsRenamed({v: k for k, v in moved.items()})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scorelake.llm.common import Shipped, batches
+from scorelake.llm.common import Shipped, batches, shielded
 
 FIT_ROWS, POOL_ROWS = 5000, 3000
 ROUNDS, HANDED = 4, 300
@@ -211,5 +211,6 @@ def score(docs: DataFrame, model: QualityModel, reject_below: float = REJECT_BEL
 
 
 def keep_good(docs: DataFrame, model: QualityModel, reject_below: float = REJECT_BELOW) -> DataFrame:
-    """``docs`` without rejected rows, columns unchanged."""
-    return _scored(docs, model).where(F.col("__quality") >= reject_below).drop("__text_odds", "__page_odds", "__quality")
+    """``docs`` without rejected rows, columns unchanged (also columns named like the helper columns)."""
+    inner, back = shielded(docs)
+    return back(_scored(inner, model).where(F.col("__quality") >= reject_below).drop("__text_odds", "__page_odds", "__quality"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scorelake.llm.common import Shipped, batches, texts_of
+from scorelake.llm.common import Shipped, batches, texts_of, shielded
 
 WINDOW = 13
 SHARD_BYTES = 8 << 20
@@ -256,8 +256,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without contaminated rows, columns unchanged."""
-    return match_items(docs, benchmark).where(~is_contaminated()).drop(*[n for n, _ in STATE])
+    """``docs`` without contaminated rows, columns unchanged (also columns named like the helper columns)."""
+    inner, back = shielded(docs)
+    return back(match_items(inner, benchmark).where(~is_contaminated()).drop(*[n for n, _ in STATE]))
 
 
 def digest(items: list[str]) -> str:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorelake.llm.common import batches, landed, texts_of
+from scorelake.llm.common import batches, landed, shielded, texts_of
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -288,7 +288,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: least id, then least place in the landed table; null ids last. Columns stay as they are."""
+    """``docs`` with one row of each component: least id, then least place in the landed table; null ids last. Columns stay as they are
+    (also columns named like the helper columns)."""
+    docs, back = shielded(docs)
     names = docs.columns
     marked = landed(with_fingerprints(docs.withColumn("__row", F.monotonically_increasing_id()), text_col))
     # Ids are compared as numbers; a row without one comes after all others.
@@ -298,4 +300,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rooted = keys.join(joined, keys["__fp"] == joined["fp"], "left").select("__row", "__id", F.coalesce("root", "__fp").alias("root"))
     first = F.struct(F.col("__id").isNull().alias("late"), F.col("__id").alias("id"), F.col("__row").alias("row"))
     kept = rooted.groupBy("root").agg(F.min(first).alias("first")).select(F.col("first.row").alias("__row"))
-    return marked.join(kept, "__row", "left_semi").select(*[F.col(f"`{n}`") for n in names])
+    return back(marked.join(kept, "__row", "left_semi").select(*[F.col(f"`{n}`") for n in names]))
