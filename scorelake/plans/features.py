@@ -10,6 +10,7 @@ from scorelake.functions.clean import first_present
 from scorelake.operators.aggregates import above_mean_flag
 from scorelake.operators.encode import label_codes, levels, onehot_columns
 from scorelake.operators.joins import join_applicants, join_jobs
+from scorelake.session import landed
 from scorelake.sizing import join_lookup, small_table
 
 
@@ -63,8 +64,8 @@ def with_categories(df: DataFrame, comment: str = "comentario") -> DataFrame:
 def group_table(df: DataFrame) -> DataFrame:
     """``(column, value, n, n_target, target, days, engaged)`` per value of every grouping column, from one pass.
 
-    Everything the codes, one-hot columns and group rates need. When it is small it becomes a literal
-    table, so the source is read once more only to attach the results.
+    Everything the codes, one-hot columns and group rates need. It is landed, so that its many readers do not
+    aggregate the source again; when it is small it becomes a literal table.
     """
     keys = [c for c in vocab.ENCODED_COLUMNS if c in df.columns]
     none = F.lit(None).cast("double")
@@ -75,9 +76,9 @@ def group_table(df: DataFrame) -> DataFrame:
         (F.col("dias_no_pipeline") if "dias_no_pipeline" in has else none).alias("d"),
         (F.col("engajamento_positivo").cast("int") if "engajamento_positivo" in has else none).alias("e"),
     )
-    grouped = rows.groupBy("column", "value").agg(
+    grouped = landed(rows.groupBy("column", "value").agg(
         F.count(F.lit(1)).alias("n"), F.count("y").alias("n_target"), F.avg("y").alias("target"), F.avg("d").alias("days"),
-        F.avg("e").alias("engaged"))
+        F.avg("e").alias("engaged")))
     small = small_table(grouped)
     return grouped if small is None else small
 
@@ -97,8 +98,9 @@ def with_codes(df: DataFrame, groups: DataFrame | None = None) -> DataFrame:
 
 
 def with_aggregates(df: DataFrame, comment: str = "comentario", fit_on: DataFrame | None = None,
-                    groups: DataFrame | None = None) -> DataFrame:
-    """Group statistics and flags. ``fit_on`` fits the group rates on other rows, such as train only."""
+                    groups: DataFrame | None = None, rows: DataFrame | None = None) -> DataFrame:
+    """Group statistics and flags. ``fit_on`` fits the group rates on other rows, such as train only. ``rows`` are the rows of
+    ``df`` before columns were joined to them, if at hand: the mean over rows is cheaper there."""
     out = df
     has = set(df.columns)
     if groups is None or fit_on is not None:
@@ -128,7 +130,7 @@ def with_aggregates(df: DataFrame, comment: str = "comentario", fit_on: DataFram
             stats["tempo_medio_pipeline_area"] = "days"
         out = attach(out, "area_vaga", stats)
     if {"area_vaga", "dias_no_pipeline"} <= has:
-        out = above_mean_flag(out, "dias_no_pipeline", "tempo_acima_media", df)
+        out = above_mean_flag(out, "dias_no_pipeline", "tempo_acima_media", df if rows is None else rows)
     if "tipo_contratacao" in has:
         out = attach(out, "tipo_contratacao", {"taxa_sucesso_contratacao": "target"})
         out = out.withColumn("ranking_contratacao", categorize.contract_rank(F.col("tipo_contratacao")))
@@ -142,7 +144,8 @@ def with_aggregates(df: DataFrame, comment: str = "comentario", fit_on: DataFram
 
 
 def prospect_features(prospects: DataFrame, jobs: DataFrame | None = None, applicants: DataFrame | None = None) -> DataFrame:
-    """Temporal, text, category, code and group features of joined prospects."""
-    base = with_categories(with_text(with_temporal(joined(prospects, jobs, applicants))))
+    """Temporal, text, category, code and group features of joined prospects. The joined rows are landed: the groups, the mean
+    and the result each read them, whatever the number of groups."""
+    base = landed(with_categories(with_text(with_temporal(joined(prospects, jobs, applicants)))))
     groups = group_table(base)
-    return with_aggregates(with_codes(base, groups), groups=groups)
+    return with_aggregates(with_codes(base, groups), groups=groups, rows=base)
