@@ -405,3 +405,17 @@ def test_words_cut_together_equal_words_cut_alone():
             core = word.rstrip(lm.MARKS) or word
             parts = [" " + core] + ([word[len(core):]] if len(core) < len(word) else [])
             assert ids == b"".join(box.ids(parts)), word
+
+
+def test_lm_learns_from_every_training_text(spark, monkeypatch):
+    """Each round's copies together see every window of every training text once, and the sketch counts every text."""
+    rows = [(i, " ".join(f"w{(i * j) % 40}" for j in range(60))) for i in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    asked, share = [], lm.AttentionLM.fit_share
+    monkeypatch.setattr(lm.AttentionLM, "fit_share", lambda self, lift, times: asked.append(times.sum()) or share(self, lift, times))
+    got = lm.score(docs, tokenizer_path("word_bpe_49k.json"), fit_texts=5)
+    training = [t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    assert asked == [sum(len(t.split()) + 1 for t in training)]  # words and ends of all training texts, not of five
+    scores = {r["doc_id"]: r["score"] for r in got.collect()}
+    again = {r["doc_id"]: r["score"] for r in lm.score(docs.repartition(7), tokenizer_path("word_bpe_49k.json"), fit_texts=5).collect()}
+    assert len(scores) == 70 and all(abs(scores[i] - again[i]) < 1e-3 for i in scores)
