@@ -147,7 +147,7 @@ class UnitCache:
 
     def __init__(self, limit: int = 400_000, text_limit: int = 24 << 20, weigh: Callable | None = None):
         self.limit, self.text_limit = limit, text_limit
-        self.weigh = weigh or (lambda key, value: len(key))  # bytes a generation counts for an entry
+        self.weigh = weigh or (lambda keys, values: sum(map(len, keys)))  # bytes a generation counts for entries
         self.young: dict = {}
         self.old: dict = {}
         self.size = 0
@@ -163,7 +163,7 @@ class UnitCache:
         fresh = list(need - again)
         made = compute(fresh)
         self.young.update(zip(fresh, made))
-        self.size += sum(self.weigh(u, self.young[u]) for u in again) + sum(map(self.weigh, fresh, made))
+        self.size += self.weigh(again, [self.young[u] for u in again]) + self.weigh(fresh, made)
         return self.young
 
 
