@@ -9,6 +9,8 @@ and unpacking those alone. Spark's committer writes both tables, so a lost execu
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -26,6 +28,9 @@ CHUNK_BYTES = 8 << 20
 # A blank beside other white space: only there does a cut before a blank change the library's pieces.
 BLANKS = "\t\n\x0b\x0c\r\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 NEAR_BLANK = f"[{BLANKS}] | [{BLANKS}]"
+# Pieces that the library may take as lines, and how many of them one call takes.
+LINES = rf"\A ?[^{BLANKS}]+(\n[^{BLANKS}]+)*\z"
+TOGETHER = 64
 BLOCKS = "shard int, block int, start long, n_ids long, bits int, doc_ids array<long>, lengths array<int>, packed binary"
 
 
@@ -62,19 +67,45 @@ def unpack(packed: bytes, bits: int, start: int, stop: int) -> np.ndarray:
     return grid.ravel()[start - first * 64:stop - first * 64]
 
 
-def sure_parts(unit: str) -> tuple[str, ...]:
-    """A piece cut where the byte-level splitter always cuts: around a lone line end, and before stops and commas after a letter.
-    The parts recur far more often than the pieces."""
-    if "\n" in unit:
-        a, _, b = unit.partition("\n")
-        if a and b and not (a[-1].isspace() or b[0].isspace()):
-            return (*sure_parts(a), "\n", *sure_parts(b))
-        return (unit,)
-    core = unit.rstrip(".,")
-    return (core, unit[len(core):]) if len(core) < len(unit) and core[-1:].isalpha() else (unit,)
-
-
-def encode_texts(box: LibraryUnits, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+class LineUnits(LibraryUnits):
+    """Ids of pieces of text, many to a call of the library where its rules allow, with a memo in each Python worker."""
+
+    def tokenizer(self):
+        made = super().tokenizer()
+        if "line" not in self.__dict__:
+            rules = json.loads(self.spec)
+            cuts, added = rules["pre_tokenizer"] or {}, rules["added_tokens"]
+            alone = rules["normalizer"] is None and cuts.get("type") == "ByteLevel" and cuts.get("use_regex", True) and not cuts["add_prefix_space"]
+            alone = alone and not any(t["single_word"] or t["lstrip"] or t["rstrip"] or re.search(f"[{BLANKS}]", t["content"]) for t in added)
+            line = made.encode("\n", add_special_tokens=False).ids
+            self.line = int(line[0]) if alone and len(line) == 1 else None
+            self.marks = [t["content"] for t in added]
+        return made
+
+    def cut(self, units: list[str]) -> list[bytes]:
+        """Ids of each unit. Units with no white space but a blank in front and lone line ends inside are given to the library as lines: a byte-level
+        splitter always cuts around a lone line end, whose id then tells where a unit ends. Others, and units with special tokens, go one by one."""
+        texts, out = pa.array(units, pa.string()), [b""] * len(units)
+        fit = pc.match_substring_regex(texts, LINES) if self.line is not None else pa.array(np.zeros(len(units), bool))
+        for mark in self.marks:
+            fit = pc.and_not(fit, pc.match_substring(texts, mark))
+        lines = pc.add(pc.count_substring(texts, "\n"), 1).to_numpy()
+        fit = fit.to_numpy(zero_copy_only=False)
+        joint = np.flatnonzero(fit).tolist()
+        for s in range(0, len(joint), TOGETHER * 64):
+            some = joint[s:s + TOGETHER * 64]
+            parts = ["\n".join([units[k] for k in some[i:i + TOGETHER]]) + "\n" for i in range(0, len(some), TOGETHER)]
+            raw = b"".join(self.ids(parts))
+            stops = np.flatnonzero(np.frombuffer(raw, "<u4") == self.line)[np.cumsum(lines[some]) - 1] * 4
+            for k, a, b in zip(some, [0, *(stops + 4).tolist()], stops.tolist()):
+                out[k] = raw[a:b]
+        rest = np.flatnonzero(~fit).tolist()
+        for k, ids in zip(rest, self.ids([units[k] for k in rest])):
+            out[k] = ids
+        return out
+
+
+def encode_texts(box: LineUnits, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(ids, lengths) of whole texts as the library gives them. Pieces between blanks are encoded once each: a byte-level
     splitter never joins text across a single blank. Texts where a blank meets other white space go whole."""
     box.tokenizer()
@@ -84,12 +115,12 @@ def encode_texts(box: LibraryUnits, texts: pa.Array) -> tuple[np.ndarray, np.nda
     codes, at = coded.indices.to_numpy().astype(np.int64), split.offsets.to_numpy().astype(np.int64)
     at -= at[0]
     # All pieces but the first of a text have a blank in front.
-    units = [" " + u for u in coded.dictionary.to_pylist()]
+    units = pc.binary_join_element_wise("", coded.dictionary, " ").to_pylist()
     firsts = pc.dictionary_encode(coded.take(pa.array(at[:-1])).cast(texts.type))
-    parts = [sure_parts(u) for u in [*units, *firsts.dictionary.to_pylist()]]
-    known = box.cache.get({p for row in parts for p in row}, box.ids)
-    values = [known[row[0]] if len(row) == 1 else b"".join([known[p] for p in row]) for row in parts]
     codes[at[:-1]] = len(units) + firsts.indices.to_numpy()
+    units += firsts.dictionary.to_pylist()
+    known = box.cache.get(set(units), box.cut)
+    values = [known[u] for u in units]
     whole = np.flatnonzero(odd)
     codes[at[whole]] = len(values) + np.arange(len(whole))
     values += box.ids(texts.take(pa.array(whole)).to_pylist())
@@ -109,7 +140,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
     from tokenizers import Tokenizer
 
     bits = bits_for(max(Tokenizer.from_str(spec).get_vocab_size(), end_id + 1))
-    box = Shipped(spark, LibraryUnits(spec))
+    box = Shipped(spark, LineUnits(spec))
     end = np.uint32(end_id)
     names = [c.split()[0] for c in BLOCKS.split(", ")]
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
