@@ -27,6 +27,10 @@ class Shipped:
     def __getstate__(self):
         return {"held": self.held}
 
+    def drop(self) -> None:
+        """Frees the value on all executors, once no plan needs it any more."""
+        self.held.destroy()
+
     @property
     def value(self):
         if "own" in self.__dict__:
