@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from scorelake.session import landed, scratch_dir
 
-__all__ = ["shielded", "Shipped", "table", "landed", "scratch_dir", "batches", "tokenizer_path", "read_text", "UnitCache", "LibraryUnits", "texts_of", "crc_mod", "coded_words", "gathered", "least_texts"]
+__all__ = ["shielded", "Shipped", "table", "landed", "scratch_dir", "batches", "tokenizer_path", "read_text", "UnitCache", "PieceMemo", "LibraryUnits", "texts_of", "crc_mod", "text_bytes", "pieces_at", "coded_words", "gathered", "strung", "least_texts"]
 
 
 class Shipped:
@@ -100,28 +100,53 @@ def least_texts(texts: DataFrame, limit: int) -> list[str]:
     return [r["text"] for r in sorted(rows.collect(), key=lambda r: r["h"])]
 
 
-def coded_words(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(raw, bounds): the UTF-8 bytes of all texts (none null); text i has those from ``bounds[i]`` to ``bounds[i + 1]``."""
+    texts = texts.cast(pa.string())
+    _, offsets, data = texts.buffers()
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    bounds = np.frombuffer(offsets, np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    raw = np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]]
+    return raw, bounds - bounds[0]
+
+
+def pieces_at(raw: np.ndarray, first: np.ndarray) -> pa.Array:
+    """The pieces of ``raw`` that start at ``first`` (ascending, from 0) and end where the next one starts."""
+    return pa.Array.from_buffers(pa.string(), len(first), [None, pa.py_buffer(np.append(first, len(raw)).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw))])
+
+
+def coded_words(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(codes, bounds, words): lower-cased (A-Z) words between the six ASCII blanks as codes into the distinct words; text i has codes
     ``bounds[i]`` to ``bounds[i + 1]``. Null texts have none."""
     import pyarrow.compute as pc
 
-    flat = pc.fill_null(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts, "")
-    split = pc.ascii_split_whitespace(pc.ascii_lower(flat))
-    pieces, ends = split.flatten(), split.offsets.to_numpy().astype(np.int64)
-    real = pc.binary_length(pieces).to_numpy(zero_copy_only=False) > 0  # blanks at the ends of a text leave empty pieces
-    kept = np.concatenate([[0], np.cumsum(real)])
-    coded = pc.dictionary_encode(pieces.filter(pa.array(real)))
-    return coded.indices.to_numpy(), kept[ends - ends[0]], coded.dictionary.cast(pa.binary()).to_pylist()
+    raw, bounds = text_bytes(pc.fill_null(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts, ""))
+    shown = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
+    starts = shown.copy()
+    starts[1:] &= ~shown[:-1]
+    edges = bounds[:-1][np.diff(bounds) > 0]
+    starts[edges] = shown[edges]
+    letters = raw[shown]
+    letters[(letters >= 65) & (letters <= 90)] |= 32
+    coded = pc.dictionary_encode(pieces_at(letters, np.flatnonzero(starts[shown])))
+    return coded.indices.to_numpy(), np.searchsorted(np.flatnonzero(starts), bounds), coded.dictionary
 
 
 def gathered(codes: np.ndarray, values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(ids, sizes): the little-endian 32-bit ids of ``values`` in the order of ``codes``, and how many each code gives."""
     lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
-    flat = np.frombuffer(b"".join(values), "<u4")
-    start = np.cumsum(lengths) - lengths
     sizes = lengths[codes]
-    shift = start[codes] - (np.cumsum(sizes) - sizes)
-    return flat[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))], sizes
+    return strung(np.frombuffer(b"".join(values), "<u4"), (np.cumsum(lengths) - lengths)[codes], sizes), sizes
+
+
+def strung(flat: np.ndarray, start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Runs of ``flat`` one behind the other: run i has ``sizes[i]`` values from place ``start[i]``."""
+    total = int(sizes.sum())
+    kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64  # half the memory where it serves
+    place = np.repeat((start - (np.cumsum(sizes) - sizes)).astype(kind), sizes)
+    place += np.arange(total, dtype=kind)
+    return flat[place]
 
 
 def batches(source: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.Table]:
@@ -171,6 +196,37 @@ class UnitCache:
         return self.young
 
 
+class PieceMemo:
+    """Ids of text pieces as flat arrays, without a Python object a piece. Beyond ``limit`` pieces or ``text_limit`` bytes of their
+    text only those of the last call stay: memory is bounded, and a dropped piece is only computed again."""
+
+    def __init__(self, limit: int = 600_000, text_limit: int = 24 << 20):
+        self.limit, self.text_limit = limit, text_limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.texts, self.ids, self.bounds = pa.array([], pa.string()), np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def get(self, units: pa.Array, compute: Callable[[list[str]], list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, sizes): the ids of distinct piece i are ``sizes[i]`` values of ``ids`` from ``start[i]``."""
+        import pyarrow.compute as pc
+
+        at = pc.index_in(units, value_set=self.texts)
+        lost = at.is_null().to_numpy(zero_copy_only=False)
+        place = at.fill_null(0).to_numpy().astype(np.int64)
+        if lost.any():
+            fresh = units.filter(pa.array(lost))
+            made = compute(fresh.to_pylist())
+            place[lost] = len(self.texts) + np.arange(len(fresh))
+            self.texts = pa.concat_arrays([self.texts, fresh])
+            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(np.fromiter(map(len, made), np.int64, len(made)) // 4)])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(made), "<u4")])
+        ids, start, sizes = self.ids, self.bounds[place], self.bounds[place + 1] - self.bounds[place]
+        if len(self.texts) > self.limit or self.texts.nbytes > self.text_limit:
+            self.texts, self.ids, self.bounds = units, strung(ids, start, sizes), np.concatenate([[0], np.cumsum(sizes)])
+        return ids, start, sizes
+
+
 class LibraryUnits:
     """Broadcast holder of a tokenizers file: each Python worker builds the tokenizer and its memo once."""
 
@@ -187,7 +243,8 @@ class LibraryUnits:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
 
-            self.made, self.cache = Tokenizer.from_str(self.spec), UnitCache()
+            self.made = Tokenizer.from_str(self.spec)
+            self.__dict__.setdefault("memo", PieceMemo())
         return self.made
 
     def ids(self, texts: list[str]) -> list[bytes]:

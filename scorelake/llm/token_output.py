@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scorelake.llm.common import Shipped, LibraryUnits, batches, gathered, read_text
+from scorelake.llm.common import Shipped, LibraryUnits, batches, pieces_at, read_text, strung, text_bytes
 
 BLOCK_IDS = 1 << 16
 CHUNK_BYTES = 8 << 20
@@ -31,6 +31,12 @@ NEAR_BLANK = f"[{BLANKS}] | [{BLANKS}]"
 # Pieces that the library may take as lines, and how many of them one call takes.
 LINES = rf"\A ?[^{BLANKS}]+(\n[^{BLANKS}]+)*\z"
 TOGETHER = 64
+# Kinds of bytes beside which the splitter surely cuts: letters and digits (and the first bytes of U+00C0 to U+023F), marks, the apostrophe.
+LETTER, MARK, APOSTROPHE = 1, 2, 3
+KINDS = np.zeros(256, np.uint8)
+KINDS[33:127] = MARK
+KINDS[[k for k in range(128) if chr(k).isalnum()] + [*range(0xC3, 0xC9)]] = LETTER
+KINDS[ord("'")] = APOSTROPHE
 BLOCKS = "shard int, block int, start long, n_ids long, bits int, doc_ids array<long>, lengths array<int>, packed binary"
 
 
@@ -105,27 +111,51 @@ class LineUnits(LibraryUnits):
         return out
 
 
+def piece_starts(raw: np.ndarray, bounds: np.ndarray, fine: bool) -> np.ndarray:
+    """Where pieces start in the bytes of texts without a blank beside other white space: at each text, at each blank, and if ``fine`` also where
+    the splitter always cuts: between a letter or digit and an ASCII mark (not behind an apostrophe, which may begin a contraction), and
+    around a lone line end. Letters are ASCII and U+00C0 to U+023F; beside other characters nothing more is cut."""
+    starts = raw == 32
+    if fine:
+        kind = KINDS[raw]
+        lead = np.flatnonzero((raw >= 0xC3) & (raw <= 0xC8))
+        kind[lead + 1] = LETTER
+        signs = lead[(raw[lead] == 0xC3) & ((raw[lead + 1] & 0xDF) == 0x97)]  # the signs of times and division among these letters
+        kind[signs] = kind[signs + 1] = 0
+        letter = kind == LETTER
+        starts[1:] |= letter[:-1] & (kind[1:] >= MARK)
+        starts[1:] |= (kind[:-1] == MARK) & letter[1:]
+        lines = np.flatnonzero(raw[1:-1] == 10) + 1
+        lines = lines[(kind[lines - 1] > 0) & (kind[lines + 1] > 0)]
+        starts[lines] = starts[lines + 1] = True
+    starts[bounds[:-1][np.diff(bounds) > 0]] = True
+    return np.flatnonzero(starts)
+
+
 def encode_texts(box: LineUnits, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, lengths) of whole texts as the library gives them. Pieces between blanks are encoded once each: a byte-level
-    splitter never joins text across a single blank. Texts where a blank meets other white space go whole."""
+    """(ids, lengths) of whole texts as the library gives them. Pieces that no byte-level splitter joins are encoded once each. Texts where
+    a blank meets other white space, or with a special token, go whole."""
     box.tokenizer()
-    odd = pc.match_substring_regex(texts, NEAR_BLANK).to_numpy(zero_copy_only=False)
-    split = pc.split_pattern(pc.if_else(pa.array(odd), pa.scalar("", texts.type), texts), " ")
-    coded = pc.dictionary_encode(split.flatten())
-    codes, at = coded.indices.to_numpy().astype(np.int64), split.offsets.to_numpy().astype(np.int64)
-    at -= at[0]
-    # All pieces but the first of a text have a blank in front.
-    units = pc.binary_join_element_wise("", coded.dictionary, " ").to_pylist()
-    firsts = pc.dictionary_encode(coded.take(pa.array(at[:-1])).cast(texts.type))
-    codes[at[:-1]] = len(units) + firsts.indices.to_numpy()
-    units += firsts.dictionary.to_pylist()
-    known = box.cache.get(set(units), box.cut)
-    values = [known[u] for u in units]
+    odd = pc.match_substring_regex(texts, NEAR_BLANK)
+    for mark in box.marks if box.line is not None else []:
+        odd = pc.or_(odd, pc.match_substring(texts, mark))
+    odd = odd.to_numpy(zero_copy_only=False)
+    raw, bounds = text_bytes(pc.if_else(pa.array(odd), pa.scalar("", texts.type), texts) if odd.any() else texts)
+    first = piece_starts(raw, bounds, box.line is not None)
+    at = np.searchsorted(first, bounds)
+    coded = pc.dictionary_encode(pieces_at(raw, first))
+    flat, start, sizes = box.memo.get(coded.dictionary, box.cut)
+    codes = coded.indices.to_numpy()
+    start, sizes = start[codes], sizes[codes]
     whole = np.flatnonzero(odd)
-    codes[at[whole]] = len(values) + np.arange(len(whole))
-    values += box.ids(texts.take(pa.array(whole)).to_pylist())
-    ids, sizes = gathered(codes, values)
-    return ids, np.add.reduceat(sizes, at[:-1])
+    if len(whole):
+        more = box.ids(texts.take(pa.array(whole)).to_pylist())
+        long = np.fromiter(map(len, more), np.int64, len(more)) // 4
+        start = np.insert(start, at[whole], len(flat) + np.cumsum(long) - long)
+        sizes = np.insert(sizes, at[whole], long)
+        flat = np.concatenate([flat, np.frombuffer(b"".join(more), "<u4")])
+        at = at + np.concatenate([[0], np.cumsum(odd)])
+    return strung(flat, start, sizes), np.diff(np.concatenate([[0], np.cumsum(sizes)])[at])
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
