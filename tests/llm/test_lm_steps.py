@@ -45,3 +45,19 @@ def test_lm_sums_by_id(spark):
     assert n.tolist() == np.bincount(every, minlength=31).tolist()
     assert begins.tolist() == np.bincount(every[np.concatenate(marks) == 1], minlength=31).tolist()
     assert often.tolist() == [sum(i in t for t in texts) for i in range(31)]
+
+
+def test_lm_scores_with_large_and_small_exponents():
+    """Scores equal the plain windows whether exponents are shifted or not; a bound on all parameters no longer decides for every block."""
+    rng = np.random.default_rng(6)
+    counts = rng.integers(1, 50, 500)
+    context, target = rng.integers(0, 400, (5, lm.WINDOW)), rng.integers(0, 400, (5, lm.WINDOW))
+    for scale in (1, 40):  # one far vector that no window holds; then exponents that would overflow
+        model = lm.AttentionLM(counts, 499, counts)
+        model.p["emb"][450] = 1e3
+        model.p["q"] *= scale
+        plain = np.take_along_axis(model.windows(context), model.cls[target][:, :, None], 2)[:, :, 0] + model.inside[target]
+        if scale == 1:
+            model.mask = None  # shifted exponents would need it
+        assert np.allclose(model.class_scores(context, target, 0), plain, atol=1e-3)
+        assert np.allclose(model.class_scores(context, target, 6), plain[:, 6:], atol=1e-3)
