@@ -22,15 +22,15 @@ def test_lm_runs_do_not_depend_on_arrow_batches():
 
 def test_lm_tasks_get_short_batches(spark, monkeypatch):
     """Every task of the score gets at most ARROW_ROWS rows at once, and the session's own setting is back afterwards."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before, seen = spark.conf.get(name), []
+    settings = lambda: [int(spark.conf.get(name)) for name in lm.ROWS_AT_ONCE]
+    before, seen = settings(), []
     plain = lm.landed
-    monkeypatch.setattr(lm, "landed", lambda df: (seen.append(int(spark.conf.get(name))), plain(df))[1])
+    monkeypatch.setattr(lm, "landed", lambda df: (seen.append(max(settings())), plain(df))[1])
     docs = spark.range(60).select(F.col("id").alias("doc_id"), F.concat(F.lit("a word "), F.col("id").cast("string")).alias("text"))
     from scorelake.llm.common import tokenizer_path
 
     out = lm.score(docs, tokenizer_path("word_bpe_49k.json"), frequent=3, fit_texts=5)
-    assert len(seen) == 3 and max(seen) <= lm.ARROW_ROWS and spark.conf.get(name) == before
+    assert len(seen) == 3 and max(seen) <= lm.ARROW_ROWS and settings() == before
     assert "MapInArrow" not in out._jdf.queryExecution().toString() and out.count() == 60
 
 
